@@ -87,7 +87,7 @@ class SeriesState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            ["_us", self.tie], kind="stable", ignore_index=True
+            ["at_us", self.tie], kind="stable", ignore_index=True
         )
         held, last_us = [], None
         if self.state.exists():
@@ -98,7 +98,7 @@ class SeriesState(StatefulProcessor):
         counts, means, stds = rolling(values, start, self.window_size)
         out = pdf[self.columns].copy()
         out["_n"], out["_mean"], out["_std"] = counts.astype("int64"), means, stds
-        times = pdf["_us"].to_numpy("int64")
+        times = pdf["at_us"].to_numpy("int64")
         before = pd.array([last_us, *times[:-1]], dtype="Int64")
         out["_seen"] = pd.array(np.where(before.isna(), None, 1), dtype="Int32")
         out["_prev_value"] = np.concatenate([[values[start - 1] if start else np.nan], values[start:-1]])
@@ -119,7 +119,7 @@ def stream_detector_chain(
 ) -> DataFrame:
     """All three detector results on every reading of a stream; see the batch chain."""
     use_rocksdb(stream.sparkSession)
-    keyed = stream.withColumn("_us", F.unix_micros("time"))
+    keyed = stream.withColumn("at_us", F.unix_micros("time"))
     schema = T.StructType(stream.schema.fields + ADDED.fields)
     stated = keyed.groupBy("sensor_id").transformWithStateInPandas(
         SeriesState(config.window_size, stream.columns, tie), schema, "append", "none"
@@ -158,9 +158,9 @@ class RepeatState(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            ["_us", self.tie], kind="stable", ignore_index=True
+            ["at_us", self.tie], kind="stable", ignore_index=True
         )
-        times = pdf["_us"].to_numpy("int64")
+        times = pdf["at_us"].to_numpy("int64")
         last = int(self.state.get()[0]) if self.state.exists() else None
         if self.mode == "quiet_gap":
             first_ok = last is None or times[0] - last > self.window_us
@@ -190,7 +190,7 @@ def stream_dedup_alerts(
 ) -> DataFrame:
     """Alert de-duplication on a stream, by explicit times held in state."""
     use_rocksdb(alerts.sparkSession)
-    keyed = alerts.withColumn("_us", F.unix_micros(ts))
+    keyed = alerts.withColumn("at_us", F.unix_micros(ts))
     processor = RepeatState(seconds_of(window) * 1_000_000, mode, alerts.columns, tie)
     return keyed.groupBy(*keys).transformWithStateInPandas(
         processor, alerts.schema, "append", "none"
