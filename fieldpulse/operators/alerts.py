@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -63,6 +63,25 @@ def _last_reached(times: np.ndarray, window: int) -> np.ndarray:
         reach = further
 
 
+def _whole_runs(
+    batches: Iterator[pd.DataFrame], by: list[str]
+) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Sorted batches regrouped to hold whole runs of equal ``by``, with the runs' bounds."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if rows.empty:
+            continue
+        names = [rows[c].to_numpy() for c in by]
+        change = np.logical_or.reduce([n[1:] != n[:-1] for n in names])
+        bounds = np.concatenate([[0], np.flatnonzero(change) + 1])
+        if len(bounds) > 1:
+            yield rows.iloc[: bounds[-1]], bounds
+        held = rows.iloc[bounds[-1] :].reset_index(drop=True)
+    if held is not None:
+        yield held, np.array([0, len(held)])
+
+
 def _dedup_fixed(
     alerts: DataFrame, keys: Sequence[str], window: str, ts: str, tie: str, slice_width: str
 ) -> DataFrame:
@@ -72,67 +91,87 @@ def _dedup_fixed(
     kept there, the time of the last one kept. Only alerts next to the slice's start can be
     first, and entries leading to the same end are merged. Per key the tables are then walked
     in order, which tells each slice the last time kept before it, and the slices are marked
-    independently again.
+    independently again. Python sees sorted partitions and holds one (key, slice) at a time.
     """
     span = seconds_of(window) * 1_000_000
     width = seconds_of(slice_width) * 1_000_000
     keys = list(keys)
-    sliced = alerts.withColumns(
-        {"_us": F.unix_micros(ts), "_slice": time_slice(F.col(ts), slice_width)}
-    )
     groups = [*keys, "_slice"]
-    key_schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in alerts.select(*keys).schema.fields
+    sliced = alerts.select(
+        *keys, tie, F.unix_micros(ts).alias("_us"), time_slice(F.col(ts), slice_width).alias("_slice")
     )
-
-    def step_table(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_us"].to_numpy())
-        border = int(group[-1]) * width + span
-        entries = min(int(np.searchsorted(times, border, side="left")) + 1, len(times))
-        ends = times[_last_reached(times, span)][:entries]
-        last_of_run = np.append(ends[1:] != ends[:-1], True)
-        row = [*group, times[:entries][last_of_run].tolist(), ends[last_of_run].tolist()]
-        return pd.DataFrame([row], columns=[*groups, "_enter", "_exit"])
-
-    def carry(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        kept, before = None, []
-        pdf = pdf.sort_values("_slice")
-        for enter, leave in zip(pdf["_enter"], pdf["_exit"], strict=True):
-            before.append(kept)
-            at = 0 if kept is None else int(np.searchsorted(enter, kept + span, side="right"))
-            if at < len(enter):
-                kept = int(leave[at])
-        out = pdf[groups].copy()
-        out["_before"] = pd.array(before, dtype="Int64")
-        return out
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", tie], kind="stable")
-        times = pdf["_us"].to_numpy()
-        before = pdf["_before"].iloc[0]
-        at = 0 if pd.isna(before) else int(np.searchsorted(times, int(before) + span, side="right"))
-        chosen = []
-        while at < len(times):
-            chosen.append(at)
-            at = int(np.searchsorted(times, times[at] + span, side="right"))
-        return pdf.iloc[chosen]
+    key_types = [f"`{n}` {t}" for n, t in sliced.select(*keys).dtypes]
+
+    def step_tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, bounds in _whole_runs(batches, groups):
+            us, slices = rows["_us"].to_numpy(), rows["_slice"].to_numpy()
+            enter, leave = [], []
+            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                times = us[begin:end]
+                border = int(slices[begin]) * width + span
+                entries = min(int(np.searchsorted(times, border, side="left")) + 1, len(times))
+                ends = times[_last_reached(times, span)][:entries]
+                last_of_run = np.append(ends[1:] != ends[:-1], True)
+                enter.append(times[:entries][last_of_run])
+                leave.append(ends[last_of_run])
+            out = rows[groups].iloc[bounds[:-1]].copy()
+            out["_enter"], out["_exit"] = enter, leave
+            yield out
+
+    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        series, kept = None, None
+        for batch in batches:
+            before = []
+            names = batch[keys].itertuples(index=False, name=None)
+            for name, enter, leave in zip(names, batch["_enter"], batch["_exit"], strict=True):
+                if name != series:
+                    series, kept = name, None
+                before.append(kept)
+                at = 0 if kept is None else int(np.searchsorted(enter, kept + span, side="right"))
+                if at < len(enter):
+                    kept = int(leave[at])
+            out = batch[groups].copy()
+            out["_before"] = pd.array(before, dtype="Int64")
+            yield out
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, bounds in _whole_runs(batches, groups):
+            us, before = rows["_us"].to_numpy(), rows["_before"].to_numpy("float64", na_value=np.nan)
+            chosen = []
+            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                at, last = begin + 1, before[begin]
+                if not np.isnan(last):
+                    at += int(np.searchsorted(us[at:end], last + span, side="right"))
+                while at < end:
+                    chosen.append(at)
+                    at += int(np.searchsorted(us[at:end], us[at] + span, side="right"))
+            yield rows.iloc[chosen][[*keys, tie]]
 
     tables = (
         sliced.select(*groups, "_us")
-        .groupBy(*groups)
-        .applyInPandas(
-            step_table, f"{key_schema}, _slice bigint, _enter array<bigint>, _exit array<bigint>"
+        .repartition(*groups)
+        .sortWithinPartitions(*groups, "_us")
+        .mapInPandas(
+            step_tables,
+            ", ".join([*key_types, "_slice bigint", "_enter array<bigint>", "_exit array<bigint>"]),
         )
     )
-    carried = tables.groupBy(*keys).applyInPandas(
-        carry, f"{key_schema}, _slice bigint, _before bigint"
+    carried = (
+        tables.repartition(*keys)
+        .sortWithinPartitions(*groups)
+        .mapInPandas(carry, ", ".join([*key_types, "_slice bigint", "_before bigint"]))
     )
-    times_only = sliced.select(*groups, "_us", tie).join(carried, groups)
-    schema = times_only.schema
-    marked = times_only.groupBy(*groups).applyInPandas(
-        lambda pdf: mark(pdf)[schema.names], schema
+    # The carried time of a slice sorts in front of its alerts.
+    marked = (
+        sliced.unionByName(carried, allowMissingColumns=True)
+        .repartition(*groups)
+        .sortWithinPartitions(*groups, F.asc_nulls_first("_us"), tie)
+        .mapInPandas(
+            mark,
+            ", ".join([*key_types, f"`{tie}` {dict(sliced.dtypes)[tie]}"]),
+        )
     )
-    return alerts.join(marked.select(*keys, tie), [*keys, tie], "left_semi")
+    return alerts.join(marked, [*keys, tie], "left_semi")
 
 
 def correlate(

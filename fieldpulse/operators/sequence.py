@@ -17,7 +17,12 @@ from fieldpulse.functions.times import seconds_between, seconds_of
 
 def time_slice(ts: Column, width: str) -> Column:
     """Number of the slice a time falls into; grows with time."""
-    return F.floor(F.unix_micros(ts) / F.lit(seconds_of(width) * 1_000_000))
+    return _whole_steps(F.unix_micros(ts), seconds_of(width) * 1_000_000)
+
+
+def _whole_steps(us: Column, width: int) -> Column:
+    """Whole widths below a number of microseconds, free of rounding."""
+    return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("bigint")
 
 
 def with_preceding_rows(
@@ -75,13 +80,13 @@ def with_preceding_span(
     if back > width:
         raise ValueError("the slice must be at least as wide as the span")
     us = F.unix_micros(ts)
-    home = F.floor(us / F.lit(width))
-    copies = F.when(
-        F.floor((us + back) / F.lit(width)) > home, F.array(home, home + 1)
-    ).otherwise(F.array(home))
+    home = _whole_steps(us, width)
+    copies = F.when(_whole_steps(us + back, width) > home, F.array(home, home + 1)).otherwise(
+        F.array(home)
+    )
     spread = df.withColumns({"_us": us, "_slice": F.explode(copies)})
     window = Window.partitionBy(*keys, "_slice").orderBy("_us")
-    kept = add(spread, window).filter(F.col("_slice") == F.floor(F.col("_us") / F.lit(width)))
+    kept = add(spread, window).filter(F.col("_slice") == _whole_steps(F.col("_us"), width))
     return kept.drop("_us", "_slice")
 
 

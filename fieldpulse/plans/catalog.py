@@ -382,7 +382,7 @@ CONFORM_SQL = """SELECT event_id, concat_ws(',',
 
 def _documents(v: Views) -> DataFrame:
     documents = readers.with_document(v.raw, contracts.READING.names)
-    return contracts.normalize_vocabulary(documents.select("event_id", "_doc.*"))
+    return contracts.normalize_vocabulary(documents.select("event_id", "_doc.*").drop("_corrupt"))
 
 
 @query("conform", sql(CONFORM_SQL, "parsed"))

@@ -102,24 +102,22 @@ def _is_flat(path: str) -> bool:
     return path.startswith("$.") and path[2:].isidentifier()
 
 
-def json_object(body: Column, keys: Sequence[str]) -> Column:
-    """Named top-level fields of a JSON object as text; null when it is not one whole object."""
-    fields = ", ".join(f"`{k}` string" for k in [*keys, "_corrupt"])
-    doc = F.from_json(body, fields, {"columnNameOfCorruptRecord": "_corrupt"})
-    text = F.trim(body)
-    whole = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
-    return F.when(whole & doc["_corrupt"].isNull(), doc)
-
-
 def with_document(
     df: DataFrame, keys: Sequence[str], col: str = "body", target: str = "_doc"
 ) -> DataFrame:
-    """Add the fields of :func:`json_object` as a struct that is computed once per row.
+    """Add named top-level fields of a JSON object as a struct of texts, parsed once per row.
 
-    As a plain column the parse would be copied into every filter and field that uses it. A
-    one-element ``explode`` keeps it where it is, and does not multiply rows.
+    The struct is null when the text is not one whole JSON object. As a plain column the parse
+    would be copied into every filter and field that uses it; a one-element ``explode`` keeps
+    it where it is, and does not multiply rows.
     """
-    return df.select("*", F.explode(F.array(json_object(F.col(col), keys))).alias(target))
+    fields = ", ".join(f"`{k}` string" for k in [*keys, "_corrupt"])
+    doc = F.from_json(F.col(col), fields, {"columnNameOfCorruptRecord": "_corrupt"})
+    text = F.trim(F.col(col))
+    whole = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    parsed = df.select("*", F.explode(F.array(doc)).alias(target))
+    good = F.when(whole & F.col(target)["_corrupt"].isNull(), F.col(target))
+    return parsed.withColumn(target, good)
 
 
 def read_evolved(
