@@ -171,7 +171,7 @@ def _dedup_fixed(
             ", ".join([*key_types, f"`{tie}` {dict(sliced.dtypes)[tie]}"]),
         )
     )
-    return alerts.join(marked, [*keys, tie], "left_semi")
+    return alerts.join(marked, [*keys, tie], "left_semi").select(*alerts.columns)
 
 
 def correlate(
