@@ -22,7 +22,7 @@ def dedup_alerts(
     mode: str = "quiet_gap",
     ts: str = "detected_at",
     tie: str = "alert_id",
-    slice_width: str = "1 day",
+    slice_width: str = "6 hours",
 ) -> DataFrame:
     """Alerts left after suppressing repeats of the same key.
 

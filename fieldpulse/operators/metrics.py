@@ -21,7 +21,7 @@ def counter_rate(
     samples: DataFrame,
     span: str = "5 minutes",
     series: Sequence[str] = SERIES,
-    slice_width: str = "1 day",
+    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Per-second increase of each counter over the span before every sample.
 
@@ -69,7 +69,7 @@ def sustained(
     duration: str,
     series: Sequence[str] = SERIES,
     ts: str = "ts",
-    slice_width: str = "1 day",
+    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Episodes in which a condition held at every sample of a series for at least ``duration``.
 
@@ -157,7 +157,7 @@ METRIC_RULES = (
 )
 
 
-def evaluate_rule(samples: DataFrame, rule: MetricRule, slice_width: str = "1 day") -> DataFrame:
+def evaluate_rule(samples: DataFrame, rule: MetricRule, slice_width: str = "1 hour") -> DataFrame:
     picked = samples.filter(F.col("metric") == rule.metric)
     if rule.job is not None:
         picked = picked.filter(F.col("job") == rule.job)
@@ -176,7 +176,7 @@ def evaluate_rule(samples: DataFrame, rule: MetricRule, slice_width: str = "1 da
 
 
 def evaluate_rules(
-    samples: DataFrame, rules: Sequence[MetricRule] = METRIC_RULES, slice_width: str = "1 day"
+    samples: DataFrame, rules: Sequence[MetricRule] = METRIC_RULES, slice_width: str = "1 hour"
 ) -> DataFrame:
     """Firing episodes of all rules."""
     return union_dlq(*[evaluate_rule(samples, rule, slice_width) for rule in rules])
@@ -224,12 +224,13 @@ def component_status(
     queue: str = "items_queued",
     span: str = "5 minutes",
     job: str | None = None,
+    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Items in, output rate and queue of every component, at its newest samples."""
     out = F.col("metric") == items_out
     if job is not None:
         out = out & (F.col("job") == job)
-    rates = counter_rate(samples.filter(out), span)
+    rates = counter_rate(samples.filter(out), span, slice_width=slice_width)
     newest_rate = latest(rates, SERIES, ts="ts").withColumn("value", F.col("rate"))
     return join_by_field(
         {

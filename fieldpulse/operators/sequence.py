@@ -68,7 +68,7 @@ def with_preceding_span(
     ts: str,
     span: str,
     add: Callable[[DataFrame, WindowSpec], DataFrame],
-    slice_width: str = "1 day",
+    slice_width: str = "1 hour",
 ) -> DataFrame:
     """Apply ``add``, which may look back over ``span`` of time in its key's series.
 

@@ -576,20 +576,18 @@ def _(v: Views) -> DataFrame:
 )
 def _(v: Views) -> DataFrame:
     documents = routing.alert_to_json(routing.route_severity(_judged(v)))
-
-    def part(name: str, alias: str):
-        return F.get_json_object("document", f"$['{name}']").alias(alias)
-
-    return documents.select(
-        "reading_id",
-        part("sensor_id", "sensor_id"),
-        part("anomaly.type", "anomaly_type"),
-        part("anomaly.severity", "severity"),
-        part("anomaly.timestamp", "stamped"),
-        part("alert.priority", "priority"),
-        part("alert.channel", "channel"),
-        part("value", "value_text"),
-    )
+    read = readers.with_document(documents, routing.ALERT_DOCUMENT, "document")
+    aliases = {
+        "sensor_id": "sensor_id",
+        "anomaly.type": "anomaly_type",
+        "anomaly.severity": "severity",
+        "anomaly.timestamp": "stamped",
+        "alert.priority": "priority",
+        "alert.channel": "channel",
+        "value": "value_text",
+    }
+    doc = F.col("_doc")
+    return read.select("reading_id", *[doc[name].alias(alias) for name, alias in aliases.items()])
 
 
 @query(
@@ -1439,7 +1437,7 @@ _dashboard(
 )
 def _(v: Views) -> DataFrame:
     counters = v.samples.filter("metric = 'items_output'")
-    return metrics.counter_rate(counters, "3 hours").select("ts", "component", "value", "rate")
+    return metrics.counter_rate(counters, "3 hours", slice_width="1 day").select("ts", "component", "value", "rate")
 
 
 @query(
@@ -1481,7 +1479,7 @@ ISLANDS = """
 @query("sustained", sql(ISLANDS, "samples"))
 def _(v: Views) -> DataFrame:
     queues = v.samples.filter("metric = 'items_queued'")
-    episodes = metrics.sustained(queues, F.col("value") > 6, "2 hours")
+    episodes = metrics.sustained(queues, F.col("value") > 6, "2 hours", slice_width="1 day")
     return episodes.select("component", "pending_since", "fires_at", "last_true_at", "samples")
 
 
@@ -1508,7 +1506,7 @@ def _(v: Views) -> DataFrame:
         rule("Backlog", "items_queued", "gt", 6, "2 hours", "warning"),
         rule("Busy", "items_queued", "gt", 30, "1 hour", "critical", kind="sum"),
     )
-    found = metrics.evaluate_rules(v.samples, rules)
+    found = metrics.evaluate_rules(v.samples, rules, slice_width="1 day")
     return found.select("alertname", "severity", "component", "pending_since", "samples")
 
 
@@ -1551,7 +1549,7 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    return metrics.component_status(v.samples, span="3 hours", job="flow")
+    return metrics.component_status(v.samples, span="3 hours", job="flow", slice_width="1 day")
 
 
 # --- the composed flow and the streaming versions -------------------------------------------------------

@@ -20,6 +20,7 @@ from fieldpulse.operators.routing import (
     union_dlq,
 )
 from fieldpulse.operators.validate import quality_gate, validate_range
+from fieldpulse.session import scratch_dir
 from fieldpulse.sources.contracts import normalize_vocabulary
 from fieldpulse.sources.sinks import archive_json, to_dlq, to_reading_rows, write_dlq, write_readings
 
@@ -144,18 +145,17 @@ def run_batch(
     """The whole flow over one set of documents; returns where each result was written.
 
     Detectors that look back run over the gated readings of this call. Documents are parsed
-    once, all sinks read the stored result.
+    once into a table in the shared scratch folder; every sink reads the columns it needs from
+    there, and a lost executor does not cost a second parse.
     """
     config = config or FlowConfig()
-    stages = stateless_stages(raw, dims, config)
-    parsed = stages.parsed.persist()
-    stages = stages.rebuild(parsed)
-    paths = {n: f"{out}/{n}" for n in ("readings", "enriched", "alerts", "archive", "dlq")}
-    try:
-        write_readings(stages.gated, paths["readings"])
-        archive_json(stages.enriched, paths["archive"], layout=config.archive_layout)
-        write_alerts(detect_all(stages.gated, config.detectors), paths["alerts"])
-        write_dlq(stages.dead_letters, paths["dlq"])
-    finally:
-        parsed.unpersist()
-    return {n: p for n, p in paths.items() if n != "enriched"}
+    spark = raw.sparkSession
+    staged = scratch_dir(spark, "flow-parsed")
+    with_parsed(raw).write.parquet(staged)
+    stages = Stages(spark.read.parquet(staged), dims, config)
+    paths = {n: f"{out}/{n}" for n in ("readings", "alerts", "archive", "dlq")}
+    write_readings(stages.gated, paths["readings"])
+    archive_json(stages.enriched, paths["archive"], layout=config.archive_layout)
+    write_alerts(detect_all(stages.gated, config.detectors), paths["alerts"])
+    write_dlq(stages.dead_letters, paths["dlq"])
+    return paths

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Thresholds per sensor type and subtype, in the columns of THRESHOLD_SCHEMA.
@@ -114,13 +115,21 @@ REFRESH_POLICIES = {
 }
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A fixed table as a local relation. Catalyst knows its size and broadcasts it in joins;
+    a frame made from Python rows has no size estimate and would be shuffled against."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    columns = [list(values) for values in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.table(dict(zip(names, columns, strict=True))), schema)
+
+
 def thresholds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(THRESHOLDS, THRESHOLD_SCHEMA)
+    return small_table(spark, THRESHOLDS, THRESHOLD_SCHEMA)
 
 
 def escalation_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ESCALATION_RULES, ESCALATION_SCHEMA)
+    return small_table(spark, ESCALATION_RULES, ESCALATION_SCHEMA)
 
 
 def signals(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SIGNALS, SIGNAL_SCHEMA)
+    return small_table(spark, SIGNALS, SIGNAL_SCHEMA)

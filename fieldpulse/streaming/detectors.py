@@ -195,3 +195,66 @@ def stream_dedup_alerts(
     return keyed.groupBy(*keys).transformWithStateInPandas(
         processor, alerts.schema, "append", "none"
     )
+
+
+class HoldState(StatefulProcessor):
+    """Follows how long a condition has held in a series and reports each episode once."""
+
+    def __init__(self, hold_us: int, series: list[str]) -> None:
+        self.hold_us, self.series = hold_us, series
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = T.StructType(
+            [T.StructField("since", T.LongType()), T.StructField("fired", T.BooleanType())]
+        )
+        self.state = handle.getValueState("episode", schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("at_us", kind="stable")
+        since, fired = self.state.get() if self.state.exists() else (None, False)
+        found = []
+        for us, held in zip(pdf["at_us"], pdf["held"], strict=True):
+            if not held:
+                since, fired = None, False
+                continue
+            since = int(us) if since is None else since
+            if not fired and us - since >= self.hold_us:
+                fired = True
+                found.append((since, int(us)))
+        self.state.update((since, fired))
+        if found:
+            out = pd.DataFrame([list(key)] * len(found), columns=self.series)
+            out["since_us"], out["fired_us"] = zip(*found, strict=True)
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
+def stream_sustained(
+    samples: DataFrame,
+    condition: Column,
+    duration: str,
+    series: tuple[str, ...] = ("job", "instance", "metric", "component"),
+    ts: str = "ts",
+) -> DataFrame:
+    """Start and time of firing of every episode, once its condition has held long enough."""
+    use_rocksdb(samples.sparkSession)
+    marked = samples.select(
+        *series,
+        F.unix_micros(ts).alias("at_us"),
+        F.coalesce(condition, F.lit(False)).alias("held"),
+    )
+    schema = T.StructType(
+        [samples.schema[c] for c in series]
+        + [T.StructField("since_us", T.LongType()), T.StructField("fired_us", T.LongType())]
+    )
+    processor = HoldState(seconds_of(duration) * 1_000_000, list(series))
+    episodes = marked.groupBy(*series).transformWithStateInPandas(
+        processor, schema, "append", "none"
+    )
+    return episodes.select(
+        *series,
+        F.timestamp_micros("since_us").alias("pending_since"),
+        F.timestamp_micros("fired_us").alias("fired_at"),
+    )

@@ -9,13 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldpulse.operators.alerts import correlate
-from fieldpulse.operators.rollup import rollup
+from fieldpulse.operators.alerts import correlate, with_lifecycle
+from fieldpulse.operators.rollup import compact_latest, rollup
 from fieldpulse.plans.flow import Dimensions, FlowConfig, stateless_stages
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources.readers import explode_batch, read_readings
 from fieldpulse.sources.reference import REFRESH_POLICIES
-from fieldpulse.sources.sinks import to_keyed_records
+from fieldpulse.sources.sinks import (
+    ARCHIVE_FOLDERS,
+    JSON_OPTIONS,
+    to_keyed_records,
+    to_reading_rows,
+    with_archive_folders,
+)
 
 # Micro-batching of the aggregating stage (fixed value).
 MERGE_TRIGGER = "5 seconds"
@@ -57,6 +63,8 @@ def start_file_sink(
 ) -> StreamingQuery:
     """Exactly-once append to files; ``trigger`` defaults to the 5-second merge interval."""
     writer = stream.writeStream.format(fmt).outputMode("append")
+    if fmt == "json":
+        writer = writer.options(**JSON_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return (
@@ -67,6 +75,75 @@ def start_file_sink(
     )
 
 
+def start_readings_sink(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """The fact table fed by a stream of readings."""
+    return start_file_sink(
+        to_reading_rows(stream), path, checkpoint, partition_by=("date",), **options
+    )
+
+
+def start_archive_sink(
+    stream: DataFrame, path: str, checkpoint: str, ts: str = "time", **options
+) -> StreamingQuery:
+    """The JSON archive fed by a stream, in the batch archive's folders."""
+    return start_file_sink(
+        with_archive_folders(stream, ts),
+        f"{path}/sensors",
+        checkpoint,
+        fmt="json",
+        partition_by=tuple(ARCHIVE_FOLDERS),
+        **options,
+    )
+
+
+def start_dlq_sink(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """Dead letters (see ``to_dlq``) fed by a stream."""
+    return start_file_sink(
+        stream.withColumn("date", F.to_date("failed_at")),
+        f"{path}/dlq",
+        checkpoint,
+        fmt="json",
+        partition_by=("stage", "date"),
+        **options,
+    )
+
+
+def start_alert_sink(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """The alert table fed by a stream of alerts."""
+    rows = with_lifecycle(stream).withColumn("date", F.to_date("detected_at"))
+    return start_file_sink(rows, path, checkpoint, partition_by=("date",), **options)
+
+
+def start_records_sink(
+    stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet", **options
+) -> StreamingQuery:
+    """Keyed records to topic folders or, with its package present, to Kafka."""
+    if fmt != "kafka":
+        return start_file_sink(
+            stream, target, checkpoint, fmt=fmt, partition_by=("topic",), **options
+        )
+    return (
+        stream.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", target)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
+def read_compacted(
+    spark: SparkSession, path: str, keys: tuple[str, ...], ts: str, tie: tuple[str, ...] = ()
+) -> DataFrame:
+    """A change log written by a file sink, reduced to the newest row of every key on reading."""
+    return compact_latest(spark.read.parquet(path), keys, ts, tie)
+
+
+def compact_log(
+    spark: SparkSession, path: str, target: str, keys: tuple[str, ...], ts: str
+) -> None:
+    """Write the compacted state of a change log, for readers to start from."""
+    read_compacted(spark, path, keys, ts).write.mode("overwrite").parquet(target)
+
+
 def drain(spark: SparkSession, stream: DataFrame, purpose: str, fmt: str = "parquet") -> DataFrame:
     """Run a stream over what its source holds now and give the written rows as a batch frame."""
     base = scratch_dir(spark, purpose)

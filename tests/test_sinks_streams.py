@@ -11,7 +11,11 @@ from conftest import READING_SCHEMA, at, readings
 from fieldpulse.config import DetectorConfig
 from fieldpulse.operators.alerts import correlate, dedup_alerts
 from fieldpulse.operators.detect import detect_all
-from fieldpulse.operators.rollup import rollup
+from fieldpulse.operators.joins import enrich
+from fieldpulse.operators.metrics import sustained
+from fieldpulse.operators.rollup import ingest_stats, rollup
+from fieldpulse.operators.routing import route_severity, rule_anomalies
+from fieldpulse.operators.validate import validate_range
 from fieldpulse.plans.flow import Dimensions, FlowConfig, run_batch
 from fieldpulse.sources import contracts, readers, sinks
 from fieldpulse.streaming import detectors, jobs
@@ -180,6 +184,57 @@ def test_stream_aggregates_and_correlation(spark, tmp_path):
     assert got.exceptAll(expected.select(got.columns)).count() == 0
 
 
+def test_stream_sustained_equals_batch(spark, tmp_path):
+    df, stream = landed(spark, str(tmp_path / "in"), stream_rows(3))
+    held = F.col("value") < 21
+    got = jobs.drain(
+        spark, detectors.stream_sustained(stream, held, "40 seconds", ("sensor_id",), "time"), "t-hold"
+    ).collect()
+    expected = sustained(df, held, "40 seconds", ("sensor_id",), "time").collect()
+    assert {(r.sensor_id, r.pending_since) for r in got} == {
+        (r.sensor_id, r.pending_since) for r in expected
+    } and got
+    assert all((r.fired_at - r.pending_since).total_seconds() >= 40 for r in got)
+
+
+def test_stateless_operators_on_a_stream(spark, tmp_path, dims):
+    df, stream = landed(spark, str(tmp_path / "in"), [("S1", i, float(i * 30)) for i in range(8)])
+
+    def chain(frame):
+        checked = validate_range(frame, dims.sensors)
+        known = enrich(checked, dims.sensors, dims.equipment, dims.platforms)
+        scored = known.withColumn("quality_score", F.lit(0.9))
+        return route_severity(rule_anomalies(scored)).drop("equipment_metadata")
+
+    got = jobs.drain(spark, chain(stream), "t-chain")
+    assert got.exceptAll(chain(df)).count() == 0 and got.count() == chain(df).count() == 2
+    stats = jobs.drain(spark, ingest_stats(stream.withWatermark("time", "0 seconds"), "2 seconds"), "t-stats")
+    assert stats.filter("readings = 2").count() >= 2
+
+
+def test_stream_sinks(spark, tmp_path):
+    df, stream = landed(spark, str(tmp_path / "in"), stream_rows(5, 40))
+    once = {"trigger": {"availableNow": True}}
+    base = str(tmp_path)
+    jobs.start_readings_sink(stream, f"{base}/facts", f"{base}/c1", **once).awaitTermination()
+    assert spark.read.parquet(f"{base}/facts").count() == 40
+    jobs.start_archive_sink(stream, f"{base}/arch", f"{base}/c2", **once).awaitTermination()
+    assert spark.read.json(f"{base}/arch/sensors").count() == 40
+    records = sinks.to_keyed_records(stream, ["sensor_id"], "sensor.raw")
+    jobs.start_records_sink(records, f"{base}/topics", f"{base}/c3", **once).awaitTermination()
+    assert spark.read.parquet(f"{base}/topics").filter("topic = 'sensor.raw'").count() == 40
+    dead = sinks.to_dlq(stream, "parse", F.col("time"))
+    jobs.start_dlq_sink(dead, base, f"{base}/c4", **once).awaitTermination()
+    assert spark.read.json(f"{base}/dlq").count() == 40
+    alerts = detectors.stream_detect_all(stream, DetectorConfig(window_size=6))
+    jobs.start_alert_sink(alerts, f"{base}/alerts", f"{base}/c5", **once).awaitTermination()
+    assert spark.read.parquet(f"{base}/alerts").filter("NOT resolved").count() > 0
+    newest = jobs.read_compacted(spark, f"{base}/facts", ("sensor_id",), "time", ("reading_id",))
+    assert newest.count() == df.select("sensor_id").distinct().count()
+    jobs.compact_log(spark, f"{base}/facts", f"{base}/state", ("sensor_id",), "time")
+    assert spark.read.parquet(f"{base}/state").count() == newest.count()
+
+
 def raw_file(path, i, documents):
     os.makedirs(path, exist_ok=True)
     with open(f"{path}/part-{i}.json", "w") as f:
