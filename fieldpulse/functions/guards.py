@@ -15,7 +15,7 @@ def _usable(value: Column) -> Column:
 
 
 def _guard(value: Column, test: Column) -> Column:
-    return F.coalesce(_usable(value) & test, F.lit(False))
+    return F.coalesce(test & ~F.isnan(value), F.lit(False))
 
 
 def at_least(value: Column, bound) -> Column:

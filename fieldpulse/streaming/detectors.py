@@ -23,13 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fieldpulse.config import DEV, DetectorConfig
 from fieldpulse.functions.times import seconds_of
-from fieldpulse.operators.detect import (
-    baseline_limit,
-    chain_to_alerts,
-    moving_average_result,
-    rate_of_change_result,
-    threshold_detect,
-)
+from fieldpulse.operators.detect import alerts_of_history, results_of
 from fieldpulse.session import ROCKSDB_PROVIDER
 
 
@@ -111,6 +105,16 @@ class SeriesState(StatefulProcessor):
         pass
 
 
+def _with_history(stream: DataFrame, config: DetectorConfig, tie: str) -> DataFrame:
+    use_rocksdb(stream.sparkSession)
+    keyed = stream.withColumn("at_us", F.unix_micros("time"))
+    schema = T.StructType(stream.schema.fields + ADDED.fields)
+    stated = keyed.groupBy("sensor_id").transformWithStateInPandas(
+        SeriesState(config.window_size, stream.columns, tie), schema, "append", "none"
+    )
+    return stated.withColumn("_prev_time", F.timestamp_micros("_prev_us")).drop("_prev_us")
+
+
 def stream_detector_chain(
     stream: DataFrame,
     config: DetectorConfig = DEV,
@@ -118,31 +122,17 @@ def stream_detector_chain(
     detected_at: Column | None = None,
 ) -> DataFrame:
     """All three detector results on every reading of a stream; see the batch chain."""
-    use_rocksdb(stream.sparkSession)
-    keyed = stream.withColumn("at_us", F.unix_micros("time"))
-    schema = T.StructType(stream.schema.fields + ADDED.fields)
-    stated = keyed.groupBy("sensor_id").transformWithStateInPandas(
-        SeriesState(config.window_size, stream.columns, tie), schema, "append", "none"
-    )
-    ready = stated.withColumn("_prev_time", F.timestamp_micros("_prev_us"))
-    at = F.col("time") if detected_at is None else detected_at
-    sensor = F.col("sensor_id")
-    return (
-        threshold_detect(ready, config, detected_at)
-        .withColumns(
-            {
-                "moving_average": moving_average_result(sensor, config, at),
-                "rate_of_change": rate_of_change_result(sensor, config, at),
-                "ma_limit": baseline_limit(config),
-            }
-        )
-        .drop(*ADDED.names, "_prev_time")
-    )
+    return results_of(_with_history(stream, config, tie), config, detected_at)
 
 
-def stream_detect_all(stream: DataFrame, config: DetectorConfig = DEV, **options) -> DataFrame:
+def stream_detect_all(
+    stream: DataFrame,
+    config: DetectorConfig = DEV,
+    tie: str = "reading_id",
+    detected_at: Column | None = None,
+) -> DataFrame:
     """Alerts of the whole chain on a stream."""
-    return chain_to_alerts(stream_detector_chain(stream, config, **options))
+    return alerts_of_history(_with_history(stream, config, tie), config, detected_at)
 
 
 class RepeatState(StatefulProcessor):
