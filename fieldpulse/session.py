@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,6 +10,8 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+_SCRATCH: list[str] = []
+
 
 def build_session(app: str = "fieldpulse", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings every plan here relies on.
@@ -43,12 +44,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, shared by all executors.
 
-    Where the setting is absent a temporary folder is used, but only on a local master:
-    on a cluster a machine-local folder would be lost with its machine.
+    Where the setting is absent, as in tests, the folder lies in the warehouse, which executors
+    share as well; a machine's own temporary folder is never used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="fieldpulse-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the folders handed out so far; results that still read them must be done with."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n

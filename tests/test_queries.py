@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldpulse.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables")
@@ -34,10 +35,10 @@ def table(rows, names):
 
 
 def test_each_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_matches_sql(spark, duck, name):
     got = entry.queries()[name](spark, FOLDER)
     cursor = duck.execute(entry.oracle_sql()[name])
