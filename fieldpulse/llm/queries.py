@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup
+from fieldpulse.llm import exact_dedup, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_setsketch_near_dedup": near_dedup.op9_setsketch_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def pieces(batches, most_bytes: int, column: str = "text") -> Iterator[pa.Record
         if not batch.num_rows:
             continue
         sizes = batch.column(batch.schema.get_field_index(column))
-        lengths = pa.compute.fill_null(pa.compute.binary_length(sizes), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(sizes), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(lengths):
             if i > start and total + n > most_bytes:
