@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, near_dedup, sentence_pieces
+from fieldpulse.llm import exact_dedup, near_dedup, sentence_pieces, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_rans_token_files": token_files.op4_rans_token_files,
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op9_setsketch_near_dedup": near_dedup.op9_setsketch_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldpulse.llm.memo import Memo
 from fieldpulse.llm.tables import pieces, table
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 PIECE = 1 << 20
 SEGMENT = 1 << 20
-_MEMO = 150_000
 _EACH = "fieldpulse-each-byte"
 
 codecs.register_error(_EACH, lambda bad: ("\ufffd", bad.start + 1))
@@ -104,24 +104,6 @@ class CharacterMap:
         return self.replacements[start : self.replacements.index(b"\0", start)], found[1]
 
 
-class _Memo(dict):
-    """Answers by unit, kept for the most recent ``2 * size`` units and computed again otherwise."""
-
-    def __init__(self, compute, size: int = _MEMO):
-        self.compute, self.size, self.old = compute, size, {}
-
-    def __missing__(self, unit):
-        value = self.old.get(unit)
-        if value is None:
-            value = self.compute(unit)
-        if len(unit) <= 64:
-            if len(self) >= self.size:
-                self.old = dict(self)
-                self.clear()
-            self[unit] = value
-        return value
-
-
 class PieceModel:
     def __init__(self, model: bytes):
         self.scores: dict[str, float] = {}
@@ -155,7 +137,7 @@ class PieceModel:
         s = re.escape(self.space)
         self.units = re.compile("(?s).+" if joins else f"{s}*[^{s}]+|{s}+")
         self.splits = not joins
-        self.memo = _Memo(self._merged)
+        self.memo = Memo(self._merged)
         self.sizes = np.array([1 if k == BYTE else len(t.encode()) for t, k in zip(self.texts, self.kinds, strict=True)])
         surface = {CONTROL: lambda t: "", UNKNOWN: lambda t: " ⁇ "}
         plain = lambda t: t.replace(SPACE, " ")
