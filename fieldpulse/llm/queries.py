@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, near_dedup, sentence_pieces, token_files
+from fieldpulse.llm import exact_dedup, near_dedup, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_url_trust": url_trust.op8_url_trust,
     "op4_rans_token_files": token_files.op4_rans_token_files,
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op9_setsketch_near_dedup": near_dedup.op9_setsketch_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op8_url_trust": url_trust.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
