@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, near_dedup, sentence_pieces, token_files, url_trust
+from fieldpulse.llm import exact_dedup, exact_topk, near_dedup, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_norm_sorted_topk": exact_topk.op6_norm_sorted_topk,
     "op8_url_trust": url_trust.op8_url_trust,
     "op4_rans_token_files": token_files.op4_rans_token_files,
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op6_norm_sorted_topk": exact_topk.SQL,
     "op8_url_trust": url_trust.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
