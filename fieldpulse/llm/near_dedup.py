@@ -255,11 +255,12 @@ def class_links(
         .join(classes.select("c", "n"), "c"),
         "clusters",
     )
-    few = buckets.where(F.col("size") <= many)
+    few = buckets.where(F.col("size") <= many).join(hot.select("c", "cluster"), "c", "left")
+    few = written(few.select("key", "c", "cluster"), "few")
     pairs = (
-        few.select("key", F.col("c").alias("a"))
-        .join(few.select("key", F.col("c").alias("b")), "key")
-        .where("a < b")
+        few.toDF("key", "a", "ca")
+        .join(few.toDF("key", "b", "cb"), "key")
+        .where("a < b AND NOT coalesce(ca = cb, false)")  # a cluster's blocks compare all of its pairs
         .select("a", "b")
         .distinct()
     )
