@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, exact_topk, near_dedup, quality, sentence_pieces, token_files, url_trust
+from fieldpulse.llm import exact_dedup, exact_topk, language, near_dedup, quality, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_recurrent_language": language.op3_recurrent_language,
     "op5_additive_quality": quality.op5_additive_quality,
     "op6_norm_sorted_topk": exact_topk.op6_norm_sorted_topk,
     "op8_url_trust": url_trust.op8_url_trust,
