@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, exact_topk, language, near_dedup, pseudonyms, quality, sentence_pieces, token_files, url_trust
+from fieldpulse.llm import exact_dedup, exact_topk, language, near_dedup, packing, pseudonyms, quality, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_length_buckets": packing.op7_length_buckets,
     "op2_feistel_pseudonyms": pseudonyms.op2_feistel_pseudonyms,
     "op3_recurrent_language": language.op3_recurrent_language,
     "op5_additive_quality": quality.op5_additive_quality,
