@@ -24,16 +24,27 @@ def seconds_of(width: str) -> int:
     return int(match.group(1)) * _UNIT_SECONDS[match.group(2)]
 
 
+# Times that a table may hold, in epoch milliseconds: the years 1 to 9999.
+EARLIEST, LATEST = -62_135_596_800_000, 253_402_300_799_999
+
+
+def _held(millis: Column) -> Column:
+    return F.when(millis.between(EARLIEST, LATEST), millis)
+
+
 def epoch_millis(raw: Column) -> Column:
     """Epoch milliseconds from text holding seconds, milliseconds or an ISO-8601 instant.
 
-    Fractions are cut off before scaling. Anything else is null, never the wall clock.
+    Fractions are cut off before scaling. Anything else, and any time outside the years 1 to
+    9999, is null, never an error and never the wall clock.
     """
-    number = raw.cast("string").try_cast("double")
-    units = number.try_cast("bigint")
-    scaled = F.when(number < SECONDS_BELOW, units * 1000).otherwise(units)
-    iso = F.unix_millis(F.try_to_timestamp(raw.cast("string")))
-    return F.coalesce(scaled, iso)
+    text = raw.cast("string")
+    number = text.try_cast("double")
+    seconds = F.when(number.between(EARLIEST / 1000, LATEST / 1000), number.try_cast("bigint"))
+    millis = F.when(number.between(EARLIEST, LATEST), number.try_cast("bigint"))
+    scaled = F.when(number < SECONDS_BELOW, F.try_multiply(seconds, F.lit(1000))).otherwise(millis)
+    iso = F.when(number.isNull(), F.unix_millis(F.try_to_timestamp(text)))
+    return _held(F.coalesce(scaled, iso))
 
 
 def normalize_ts(raw: Column) -> Column:
@@ -47,15 +58,15 @@ def iso_millis(ts: Column) -> Column:
 
 
 def epoch_to_iso(df: DataFrame, source: str = "timestamp", target: str = "time") -> DataFrame:
-    """Replace an epoch-milliseconds column by its ISO-8601 UTC text under a new name."""
-    text = iso_millis(F.timestamp_millis(F.col(source).cast("bigint")))
+    """Replace an epoch-milliseconds column by its ISO-8601 UTC text; null if it is no such time."""
+    text = iso_millis(F.timestamp_millis(_held(F.col(source).try_cast("bigint"))))
     return df.withColumn(target, text).drop(source)
 
 
 def rewrite_epoch_in_text(body: Column) -> Column:
     """The same on a JSON document kept as text: ``"timestamp": 1700…`` → ``"time":"2023-…Z"``."""
     digits = F.regexp_extract(body, r'"timestamp"\s*:\s*(\d+)', 1)
-    iso = iso_millis(F.timestamp_millis(digits.try_cast("bigint")))
+    iso = iso_millis(F.timestamp_millis(_held(digits.try_cast("bigint"))))
     replacement = F.concat(F.lit('"time":"'), iso, F.lit('"'))
     return F.when(
         iso.isNotNull(), F.regexp_replace(body, F.lit(r'"timestamp"\s*:\s*\d+'), replacement)

@@ -227,16 +227,16 @@ def component_status(
     slice_width: str = "1 hour",
 ) -> DataFrame:
     """Items in, output rate and queue of every component, at its newest samples."""
+    """One row per component; where it runs on several nodes, their newest values add up."""
     out = F.col("metric") == items_out
     if job is not None:
         out = out & (F.col("job") == job)
     rates = counter_rate(samples.filter(out), span, slice_width=slice_width)
     newest_rate = latest(rates, SERIES, ts="ts").withColumn("value", F.col("rate"))
-    return join_by_field(
-        {
-            "items_in": instant_values(samples, items_in, job),
-            "items_out_rate": newest_rate,
-            "queue_size": instant_values(samples, queue, job),
-        },
-        "component",
-    )
+    frames = {
+        "items_in": instant_values(samples, items_in, job),
+        "items_out_rate": newest_rate,
+        "queue_size": instant_values(samples, queue, job),
+    }
+    whole = {n: f.groupBy("component").agg(F.sum("value").alias("value")) for n, f in frames.items()}
+    return join_by_field(whole, "component")

@@ -64,16 +64,16 @@ def with_parsed(
 
     time = normalize_ts(field["timestamp"])
     checks: list[tuple[Column, str, Column]] = [
-        (F.col("_doc").isNull(), "invalid_json", F.lit("JSON parse error"))
+        (F.col("_doc").isNull(), "invalid_json", F.lit("not a JSON object"))
     ]
     if require_sensor:
-        checks.append((no_sensor, "missing_sensor_id", F.lit("Missing 'sensor_id' field")))
+        checks.append((no_sensor, "missing_sensor_id", F.lit("no sensor_id")))
     checks += [
-        (value_text.isNull(), "missing_value", F.lit("Missing 'value' field")),
+        (value_text.isNull(), "missing_value", F.lit("no value")),
         (
             value.isNull(),
             "non_numeric_value",
-            F.concat(F.lit("Non-numeric value: "), value_text),
+            F.concat(F.lit("not a number: "), value_text),
         ),
     ]
     if require_time:
@@ -81,7 +81,7 @@ def with_parsed(
             (
                 time.isNull(),
                 "bad_timestamp",
-                F.concat(F.lit("Unreadable timestamp: "), F.coalesce(field["timestamp"], F.lit(""))),
+                F.concat(F.lit("no time: "), F.coalesce(field["timestamp"], F.lit(""))),
             )
         )
     return doc.withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import instant, seconds_between, seconds_of, since
@@ -40,28 +40,35 @@ def rollup(
 def rollup_of_rollup(agg: DataFrame, width: str, by: Sequence[str] = SERIES) -> DataFrame:
     """A coarser rollup computed from a finer one, without going back to the readings.
 
-    The squared deviations of the parts add up with the spread of their means; a bucket with a
-    single reading contributes none of its own.
+    The squared deviations of the parts add up with the spread of their means. Means are taken
+    relative to the smallest value of the coarse bucket before they are squared, so that large
+    values lose no digits of a small spread. Both steps share one partitioning by bucket and
+    series; the second only runs over the finer buckets of each coarse one.
     """
     n = F.col("reading_count")
     own = F.coalesce(F.col("stddev_value"), F.lit(0.0))
-    merged = agg.groupBy(F.window("bucket", width).alias("_w"), *by).agg(
+    together = Window.partitionBy("_w", *by)
+    near = F.col("avg_value") - F.min("min_value").over(together)
+    parts = agg.withColumn("_w", F.window("bucket", width)).withColumn("_near", near)
+    merged = parts.groupBy("_w", *by).agg(
         F.sum(n).alias("reading_count"),
         F.min("min_value").alias("min_value"),
         F.max("max_value").alias("max_value"),
-        F.sum(F.col("avg_value") * n).alias("_sum"),
+        F.sum(F.col("_near") * n).alias("_sum"),
         F.sum(own * own * (n - 1)).alias("_m2"),
-        F.sum(F.col("avg_value") * F.col("avg_value") * n).alias("_mean_sq"),
+        F.sum(F.col("_near") * F.col("_near") * n).alias("_mean_sq"),
     )
     total = F.col("reading_count")
-    spread = F.greatest(
-        F.col("_m2") + F.col("_mean_sq") - F.col("_sum") * F.col("_sum") / total, F.lit(0.0)
-    )
+    spread = F.col("_m2") + F.col("_mean_sq") - F.col("_sum") * F.col("_sum") / total
+    # Only rounding, far below the spread itself, can make the difference negative.
+    flat = F.col("min_value") == F.col("max_value")
     return merged.withColumns(
         {
             "bucket": F.col("_w.start"),
-            "avg_value": F.col("_sum") / total,
-            "stddev_value": F.when(total > 1, F.sqrt(F.try_divide(spread, total - 1))),
+            "avg_value": F.col("min_value") + F.col("_sum") / total,
+            "stddev_value": F.when(
+                total > 1, F.when(flat, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(F.abs(spread), total - 1)))
+            ),
         }
     ).select("bucket", *by, *MEASURES)
 
@@ -128,7 +135,11 @@ def refresh_rollup_table(
     width, start, end, _ = REFRESH_POLICIES[policy] if isinstance(policy, str) else policy
     low, high = refresh_range(as_of, width, start, end)
     days = F.col("date").between(F.lit(low.date()), F.lit((high - dt.timedelta(seconds=1)).date()))
-    stored = spark.read.parquet(path).filter(days)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        stored = spark.read.parquet(path).filter(days)
+    else:  # the first run
+        stored = rollup(facts.limit(0), width, ts, by).withColumn("date", F.to_date("bucket"))
     staged = scratch_dir(spark, "rollup-refresh")
     write_rollup(refresh_rollup(facts, stored, width, start, end, as_of, ts, by), staged)
     spark.read.parquet(staged).write.partitionBy("date").mode("overwrite").option(

@@ -148,11 +148,12 @@ def _(v: Views) -> DataFrame:
     "parse_reading",
     sql(
         """SELECT event_id, reading_id, sensor_id, TRY_CAST(value_text AS DOUBLE) AS value,
-             epoch_ms(CAST(epoch_text AS BIGINT)) AS "time", quality_flag, error_reason,
-             CASE error_reason WHEN 'invalid_json' THEN 'JSON parse error'
-               WHEN 'missing_sensor_id' THEN 'Missing ''sensor_id'' field'
-               WHEN 'missing_value' THEN 'Missing ''value'' field'
-               WHEN 'non_numeric_value' THEN 'Non-numeric value: ' || value_text END AS error_text,
+             epoch_ms(time_ms) AS "time", quality_flag, error_reason,
+             CASE error_reason WHEN 'invalid_json' THEN 'not a JSON object'
+               WHEN 'missing_sensor_id' THEN 'no sensor_id'
+               WHEN 'missing_value' THEN 'no value'
+               WHEN 'non_numeric_value' THEN 'not a number: ' || value_text
+               WHEN 'bad_timestamp' THEN 'no time: ' || coalesce(epoch_text, '') END AS error_text,
              CASE WHEN error_reason IS NOT NULL THEN 'UNKNOWN' END AS severity FROM parsed""",
         "parsed",
     ),
@@ -195,7 +196,7 @@ def _(v: Views) -> DataFrame:
 @query(
     "epoch_to_iso",
     sql(
-        """SELECT event_id, CASE WHEN event_id % 97 = 0 THEN body ELSE
+        """SELECT event_id, CASE WHEN event_id % 97 = 0 OR event_id % 73 = 0 THEN body ELSE
              replace(body, '"timestamp":' || CAST(epoch_us(received_at) // 1000 AS VARCHAR),
                '"time":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"') END AS body
            FROM raw""",
@@ -376,7 +377,8 @@ CONFORM_SQL = """SELECT event_id, concat_ws(',',
     CASE WHEN value_text IS NULL THEN 'missing:value'
          WHEN TRY_CAST(value_text AS DOUBLE) IS NULL THEN 'type:value' END,
     CASE WHEN unit IS NULL THEN 'missing:unit' END,
-    CASE WHEN epoch_text IS NULL THEN 'missing:timestamp' END) AS violations,
+    CASE WHEN epoch_text IS NULL THEN 'missing:timestamp'
+         WHEN time_ms IS NULL THEN 'type:timestamp' END) AS violations,
     coalesce(quality_flag, 'GOOD') AS quality_flag FROM parsed"""
 
 
@@ -747,14 +749,13 @@ def _(v: Views) -> DataFrame:
     )
 
 
-HEALTH_SQL = """SELECT p.platform_id, p.platform_name, p.region,
-    count(DISTINCT s.sensor_id) AS sensor_count,
-    count(DISTINCT CASE WHEN NOT a.resolved THEN a.alert_id END) AS alert_count,
-    max(a.detected_at) AS latest_alert_time
-    FROM platforms p
-    LEFT JOIN sensors s ON s.platform_id = p.platform_id AND s.status = 'ACTIVE'
-    LEFT JOIN alerts a ON a.platform_id = p.platform_id
-    WHERE p.status = 'ACTIVE' GROUP BY ALL"""
+HEALTH_SQL = """SELECT platform_id, platform_name, region, coalesce(working, 0) AS sensor_count,
+      coalesce(open_alerts, 0) AS alert_count, newest AS latest_alert_time
+    FROM (SELECT * FROM platforms WHERE status = 'ACTIVE')
+    LEFT JOIN (SELECT platform_id AS sp, count(*) AS working FROM sensors
+               WHERE status = 'ACTIVE' GROUP BY platform_id) ON sp = platform_id
+    LEFT JOIN (SELECT platform_id AS ap, sum(CASE WHEN resolved THEN 0 ELSE 1 END) AS open_alerts,
+                 max(detected_at) AS newest FROM alerts GROUP BY platform_id) ON ap = platform_id"""
 
 
 @query("platform_health", sql(HEALTH_SQL, "platforms", "sensors", "alerts"))
@@ -916,6 +917,27 @@ for _name, _width in {
     _register_rollup(_name, _width)
 
 
+SHIFT = 1e8
+
+
+@query(
+    "rollup_of_rollup_large_values",
+    sql(
+        f"""SELECT bucket, platform_id, sensor_id, sensor_type, avg_value + {SHIFT} AS avg_value,
+             min_value + {SHIFT} AS min_value, max_value + {SHIFT} AS max_value, reading_count,
+             round(stddev_value, 4) AS stddev_value FROM ({rollup_sql("1 day")})""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Deviations far smaller than the values survive both steps."""
+    far = v.readings.withColumn("value", F.col("value") + SHIFT)
+    merged = rollup.rollup_of_rollup(rollup.rollup(far, "15 minutes"), "1 day")
+    return merged.withColumns(
+        {"avg_value": F.round("avg_value", 6), "stddev_value": F.round("stddev_value", 4)}
+    )
+
+
 @query("rollup_of_rollup", sql(rollup_sql("1 day"), "readings"))
 def _(v: Views) -> DataFrame:
     return rollup.rollup_of_rollup(rollup.rollup(v.readings, "15 minutes"), "1 day")
@@ -1555,7 +1577,7 @@ def _(v: Views) -> DataFrame:
 # --- the composed flow and the streaming versions -------------------------------------------------------
 
 FLOW_SQL = sql(
-    """SELECT epoch_ms(CAST(epoch_text AS BIGINT)) AS "time", reading_id, platform_id, sensor_id,
+    """SELECT epoch_ms(time_ms) AS "time", reading_id, platform_id, sensor_id,
          lower(sensor_type) AS sensor_type, CAST(value_text AS DOUBLE) AS value, unit, quality_flag
        FROM parsed WHERE error_reason IS NULL""",
     "parsed",

@@ -75,7 +75,10 @@ CTES = {
                || CASE WHEN event_id % 89 = 0 THEN ''
                     ELSE '"value":' || CASE WHEN event_id % 83 = 0 THEN '"n/a"'
                       ELSE CAST(value AS VARCHAR) END || ',' END
-               || '"unit":"' || unit || '","timestamp":' || CAST(epoch_us("time") // 1000 AS VARCHAR)
+               || '"unit":"' || unit || '","timestamp":' || CASE WHEN event_id % 73 = 0 THEN
+                    CASE event_id % 4 WHEN 0 THEN '9223372036854775807' WHEN 1 THEN '-9000000000000000000'
+                      WHEN 2 THEN '99999999999999999' ELSE '"n/a"' END
+                    ELSE CAST(epoch_us("time") // 1000 AS VARCHAR) END
                || ',"quality_flag":"' || quality_flag || '"}' AS body
             FROM readings)""",
     "docs": """
@@ -84,8 +87,11 @@ CTES = {
       SELECT *, CASE WHEN doc IS NULL THEN 'invalid_json'
            WHEN coalesce(sensor_id, '') = '' THEN 'missing_sensor_id'
            WHEN value_text IS NULL THEN 'missing_value'
-           WHEN TRY_CAST(value_text AS DOUBLE) IS NULL THEN 'non_numeric_value' END AS error_reason
-      FROM (SELECT *, json_extract_string(doc, '$.reading_id') AS reading_id,
+           WHEN TRY_CAST(value_text AS DOUBLE) IS NULL THEN 'non_numeric_value'
+           WHEN time_ms IS NULL THEN 'bad_timestamp' END AS error_reason
+      FROM (SELECT *, CASE WHEN TRY_CAST(json_extract_string(doc, '$.timestamp') AS BIGINT)
+                    BETWEEN 0 AND 4102444800000
+                  THEN CAST(json_extract_string(doc, '$.timestamp') AS BIGINT) END AS time_ms, json_extract_string(doc, '$.reading_id') AS reading_id,
                 json_extract_string(doc, '$.platform_id') AS platform_id,
                 json_extract_string(doc, '$.sensor_id') AS sensor_id,
                 json_extract_string(doc, '$.sensor_type') AS sensor_type,

@@ -83,6 +83,10 @@ def readings_of(events: DataFrame) -> DataFrame:
     )
 
 
+# Times no reading can have: too large for any unit, negative, far beyond the calendar, no number.
+BAD_TIMES = ("9223372036854775807", "-9000000000000000000", "99999999999999999", '"n/a"')
+
+
 def raw_of(readings: DataFrame) -> DataFrame:
     """Readings as JSON documents with the usual faults in some, and their topic."""
     event = F.col("event_id")
@@ -107,7 +111,9 @@ def raw_of(readings: DataFrame) -> DataFrame:
         value,
         text("unit", F.col("unit")),
         F.lit(',"timestamp":'),
-        F.unix_millis("time").cast("string"),
+        F.when(event % 73 == 0, F.element_at(F.array(*[F.lit(t) for t in BAD_TIMES]), (event % 4 + 1).cast("int"))).otherwise(
+            F.unix_millis("time").cast("string")
+        ),
         F.lit(","),
         text("quality_flag", F.col("quality_flag")),
         F.lit("}"),

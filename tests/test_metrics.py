@@ -136,3 +136,11 @@ def test_component_status(spark):
     assert (got["a"].items_in, got["a"].items_out_rate, got["a"].queue_size) == (2.0, 2.0, None)
     assert (got["b"].items_in, got["b"].items_out_rate, got["b"].queue_size) == (None, None, 7.0)
     assert instant_values(samples(spark, rows), "items_input", "other").count() == 0
+
+
+def test_component_on_several_nodes_is_one_row(spark):
+    rows = [(m, "a", t, v) for m, t, v in
+            [("items_input", 30, 2), ("items_output", 0, 0), ("items_output", 30, 60), ("items_queued", 30, 7)]]
+    nodes = samples(spark, rows).withColumn("instance", F.explode(F.array(F.lit("n1"), F.lit("n2"), F.lit("n3"))))
+    got = component_status(nodes).collect()
+    assert [(r.component, r.items_in, r.items_out_rate, r.queue_size) for r in got] == [("a", 6.0, 6.0, 21.0)]

@@ -87,7 +87,7 @@ def test_parse_without_sensor_or_time(spark):
 def test_parse_split(spark):
     good, bad = parse_reading(bodies(spark, changed(), changed(value="n/a"), "{"))
     assert good.count() == 1 and "error_reason" not in good.columns
-    assert {r.error_text for r in bad.collect()} == {"Non-numeric value: n/a", "JSON parse error"}
+    assert {r.error_text for r in bad.collect()} == {"not a number: n/a", "not a JSON object"}
 
 
 @pytest.mark.parametrize(
@@ -246,3 +246,20 @@ def test_validate_range(spark):
 def test_stamp(spark):
     row = stamp(spark.range(1), "raw", "2024-01-01 00:00:00", source="mqtt").first()
     assert (row.stage, row.source, row.raw_at) == ("raw", "mqtt", dt.datetime(2024, 1, 1))
+
+
+@pytest.mark.parametrize(
+    "raw",
+    ["9223372036854775807", "-9223372036854775808", "-9000000000000000000", "99999999999999999", "1e17", "1e300",
+     "1e15", "Infinity", "-Infinity", "NaN", "n/a", "", "123456789012345678901234567890"],
+)
+def test_times_beyond_the_calendar_are_rejected(spark, raw):
+    df = spark.createDataFrame([(raw,)], "timestamp string")
+    assert df.select(normalize_ts(F.col("timestamp")).alias("t")).first().t is None
+    assert epoch_to_iso(df).first()["time"] is None
+    quoted = raw if raw.lstrip("-").isdigit() else f'"{raw}"'
+    body = f'{{"sensor_id":"s","value":1,"timestamp":{quoted}}}'
+    docs = spark.createDataFrame([(body,)], "body string")
+    assert docs.select(rewrite_epoch_in_text(F.col("body")).alias("b")).first().b == body
+    good, bad = parse_reading(docs)
+    assert good.count() == 0 and bad.first().error_reason == "bad_timestamp"

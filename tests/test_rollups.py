@@ -150,3 +150,14 @@ def test_label_map(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "r boolean")
     got = [r.x for r in df.select(label_map(F.col("r"), {"true": "YES"}).alias("x")).collect()]
     assert got == ["YES", "false", None]
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e6, 1e8])
+def test_merged_deviation_keeps_its_digits(spark, offset):
+    rows = [("s", 60 * i, offset + 0.01 * (i % 5) + 0.02 * (i % 3)) for i in range(300)]
+    df = readings(spark, rows)
+    direct = rollup(df, "1 day").first()
+    merged = rollup_of_rollup(rollup(df, "15 minutes"), "1 day").first()
+    assert direct.stddev_value > 0.01
+    assert merged.stddev_value == pytest.approx(direct.stddev_value, rel=1e-5)
+    assert merged.avg_value == pytest.approx(direct.avg_value, rel=1e-12)
