@@ -62,6 +62,66 @@ def with_preceding_rows(
     return body.unionByName(heads)
 
 
+ROWS_PER_DEPTH = 20  # rows of a slice for each row of look-back
+MERGED = 64  # slices that one slice of the next pass takes in
+PASSES = 3
+
+
+def with_preceding_rows_sized(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    depth: int,
+    add: Callable[[DataFrame, WindowSpec], DataFrame],
+    rows_per_slice: int | None = None,
+    merged: int = MERGED,
+) -> DataFrame:
+    """As :func:`with_preceding_rows`, with slices sized by the rows of each key.
+
+    A key's time is cut into equal slices of ``rows_per_slice`` rows on average, so a sparse
+    series is one slice and needs no second pass. The borders of dense series, a tenth of their
+    rows, are repaired over ``merged`` slices at a time, the borders of that pass over
+    ``merged`` times as many, and so on: no pass holds a whole series in one window until a
+    series has more than ``merged ** PASSES`` slices.
+
+    ``order[0]`` must be a timestamp. Rows and extremes per key come from one map-side aggregate.
+    """
+    size = rows_per_slice or ROWS_PER_DEPTH * max(depth, 1)
+    us = F.unix_micros(order[0])
+    spans = df.groupBy(*keys).agg(
+        F.min(us).alias("_from"), F.max(us).alias("_to"), F.count(F.lit(1)).alias("_rows")
+    )
+    slices = F.greatest(F.floor(F.col("_rows") / size), F.lit(1))
+    spans = spans.withColumns(
+        {"_last": slices - 1, "_step": (F.col("_to") - F.col("_from") + 1) / slices}
+    ).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_from", "_step", "_last")
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    cut = F.least(F.floor((us - F.col("_from")) / F.col("_step")), F.col("_last"))
+    sliced = df.join(spans, same).withColumn("_slice", cut)
+    own = [f"_key{i}" for i in range(len(keys))]
+    sliced = sliced.drop(*own, "_from", "_step")
+    return _repaired(sliced, keys, order, depth, add, merged, PASSES).drop("_slice", "_last")
+
+
+def _repaired(frame, keys, order, depth, add, merged: int, passes: int) -> DataFrame:
+    if not passes:
+        return add(frame, Window.partitionBy(*keys).orderBy(*order))
+    own = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    head, tail = f"_head{passes}", f"_tail{passes}"
+    flagged = frame.withColumns(
+        {
+            head: F.lag(F.lit(1), depth).over(own).isNull() & (F.col("_slice") > 0),
+            tail: F.lead(F.lit(1), depth).over(own).isNull() & (F.col("_slice") < F.col("_last")),
+        }
+    )
+    body = add(flagged, own).filter(~F.col(head)).drop(head, tail)
+    edges = flagged.filter(F.col(head) | F.col(tail)).withColumns(
+        {"_slice": F.floor(F.col("_slice") / merged), "_last": F.floor(F.col("_last") / merged)}
+    )
+    again = _repaired(edges, keys, order, depth, add, merged, passes - 1)
+    return body.unionByName(again.filter(F.col(head)).drop(head, tail))
+
+
 def with_preceding_span(
     df: DataFrame,
     keys: Sequence[str],

@@ -39,8 +39,6 @@ Query = Callable[[Views], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
-# The driver's sensors report a few times a day, so slices are days instead of hours.
-SLICE = "10 days"
 SENSOR = ("P2", "S-7")
 PANEL = "10 days"
 
@@ -1089,7 +1087,7 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    found = detect.moving_average_detect(v.readings, FIXTURE, slice_width=SLICE, digits=6)
+    found = detect.moving_average_detect(v.readings, FIXTURE, digits=6)
     return found.select(
         "reading_id",
         "sensor_id",
@@ -1111,7 +1109,7 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    found = detect.rate_of_change_detect(v.readings, FIXTURE, slice_width=SLICE)
+    found = detect.rate_of_change_detect(v.readings, FIXTURE)
     return found.select(
         "reading_id",
         "sensor_id",
@@ -1151,7 +1149,7 @@ ALERT_COLUMNS = (
 
 @query("detect_all", DETECT_SQL)
 def _(v: Views) -> DataFrame:
-    return detect.detect_all(v.readings, FIXTURE, slice_width=SLICE).select(*ALERT_COLUMNS)
+    return detect.detect_all(v.readings, FIXTURE).select(*ALERT_COLUMNS)
 
 
 @query(

@@ -5,11 +5,14 @@ import random
 from collections import defaultdict, deque
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import readings
 from fieldpulse.config import PRESETS, DetectorConfig
+from fieldpulse.operators.sequence import with_preceding_rows_sized
 from fieldpulse.operators.detect import (
+    BY_ROWS,
     chain_to_alerts,
     detect_all,
     detector_chain,
@@ -133,7 +136,7 @@ def walk(rows, config: DetectorConfig):
     return out
 
 
-@pytest.mark.parametrize("width", [None, "1 minute", "1 hour", "1 day"])
+@pytest.mark.parametrize("width", [None, "1 minute", "1 hour", BY_ROWS])
 @pytest.mark.parametrize("size, k", [(1, 3.0), (7, 1.5), (20, 2.0), (60, 2.5)])
 def test_chain_equals_walk(spark, width, size, k):
     rows = series(size, hot=600, others=40)
@@ -253,3 +256,36 @@ def test_sensor_with_most_readings_is_sliced(spark):
     assert result.count() == 5000
     whole = moving_average_detect(df, config, slice_width=None)
     assert result.exceptAll(whole).count() == 0
+
+
+@pytest.mark.parametrize("rows, merged", [(3, 2), (10, 2), (40, 3), (10_000, 64)])
+@pytest.mark.parametrize("depth", [1, 4, 9])
+def test_slices_by_rows_equal_one_window(spark, rows, merged, depth):
+    """Also where a slice holds fewer rows than the look-back, and over all passes."""
+    rng = random.Random(rows + depth)
+    data = [("HOT", 10 * rng.random() ** 3 * i, float(i)) for i in range(400)]
+    data += [(f"S{i % 7}", float(i % 5), float(i)) for i in range(60)] + [("ONE", 1.0, 1.0)]
+    df = readings(spark, data)
+
+    def add(frame, window):
+        return frame.withColumn("seen", F.collect_list("reading_id").over(window.rowsBetween(-depth, 0)))
+
+    whole = add(df, Window.partitionBy("sensor_id").orderBy("time", "reading_id"))
+    got = with_preceding_rows_sized(df, ["sensor_id"], ["time", "reading_id"], depth, add, rows, merged)
+    assert got.columns == whole.columns and got.count() == len(data)
+    assert got.exceptAll(whole).count() == 0
+
+
+def test_few_rows_are_repaired_with_long_windows(spark):
+    """N = 200 at a steady cadence: a tenth of the rows lie at borders, none without need."""
+    df = readings(spark, [("HOT", 10.0 * i, float(i % 13)) for i in range(40_000)] + [("S", 5000.0 * i, 1.0) for i in range(50)])
+    again = []
+
+    def add(frame, window):
+        again.append(frame)
+        return frame.withColumn("n", F.count("value").over(window.rowsBetween(-199, 0)))
+
+    out = with_preceding_rows_sized(df, ["sensor_id"], ["time", "reading_id"], 199, add)
+    assert out.count() == 40_050 and out.filter("n < 200").count() == 199 + 50
+    second = again[1]
+    assert second.count() < 0.2 * 40_050 and second.filter("sensor_id = 'S'").count() == 0
