@@ -113,12 +113,12 @@ CTES = {
                   ELSE 'none' END AS anomaly_type,
              CASE WHEN value >= 200 THEN 200.0 WHEN value <= 1 THEN 1.0
                   WHEN value >= 140 THEN 140.0 WHEN value <= 3 THEN 3.0 END AS threshold_value,
-             'Sensor ' || sensor_id || ': value ' || CAST(value AS VARCHAR) ||
-             CASE WHEN value >= 200 THEN ' >= critical high 200.0'
-                  WHEN value <= 1 THEN ' <= critical low 1.0'
-                  WHEN value >= 140 THEN ' >= warning high 140.0'
-                  WHEN value <= 3 THEN ' <= warning low 3.0'
-                  ELSE ' within normal range' END AS description
+             sensor_id || ' read ' || CAST(value AS VARCHAR) ||
+             CASE WHEN value >= 200 THEN ', at or above the critical maximum of 200.0'
+                  WHEN value <= 1 THEN ', at or below the critical minimum of 1.0'
+                  WHEN value >= 140 THEN ', at or above the warning maximum of 140.0'
+                  WHEN value <= 3 THEN ', at or below the warning minimum of 3.0'
+                  ELSE ', inside all limits' END AS description
       FROM readings""",
     "alerts": """
       SELECT 'A-' || reading_id AS alert_id, sensor_id, platform_id, equipment_id, anomaly_type,

@@ -51,8 +51,8 @@ def test_threshold_branches(spark, value, severity, kind, limit):
 
 def test_threshold_text(spark):
     rows = threshold_detect(readings(spark, [("S-1", 0, 130.5), ("S-1", 1, 50.0)])).collect()
-    assert rows[0].anomaly.description == "Sensor S-1: value 130.5 >= critical high 120.0"
-    assert rows[1].anomaly.description == "Sensor S-1: value 50.0 within normal range"
+    assert rows[0].anomaly.description == "S-1 read 130.5, at or above the critical maximum of 120.0"
+    assert rows[1].anomaly.description == "S-1 read 50.0, inside all limits"
 
 
 def test_overlapping_limits_take_critical_first(spark):
@@ -63,7 +63,7 @@ def test_overlapping_limits_take_critical_first(spark):
 
 def test_threshold_without_sensor(spark):
     df = readings(spark, [(None, 0, 130.0)])
-    assert threshold_detect(df).first().anomaly.description.startswith("Sensor unknown: ")
+    assert threshold_detect(df).first().anomaly.description.startswith("unknown read ")
 
 
 @pytest.mark.parametrize(
@@ -174,10 +174,10 @@ def test_constant_series_and_text(spark):
     rows = [("S", i, 0.1) for i in range(8)]
     got = moving_average_detect(readings(spark, rows), DetectorConfig(window_size=10)).orderBy("time")
     last = [r.moving_average for r in got.collect()]
-    assert last[3].description == "Sensor S: warming up (4/10 readings)"
+    assert last[3].description == "S moving average: 4 of 10 readings so far, not judged yet"
     assert last[3].deviation is None
     assert last[7].deviation == 0.0
-    assert last[7].description == "Sensor S: constant value stream, no deviation"
+    assert last[7].description == "S moving average: all readings of the window are equal"
 
 
 def test_excluding_current_reaches_flat_baseline(spark):
@@ -206,9 +206,9 @@ def test_rate_window_edges(spark):
     found = [(r.rate_of_change.severity, r.rate_of_change.rate) for r in got]
     assert found == [("NORMAL", None), ("WARNING", 20.0), ("NORMAL", None), ("NORMAL", None)]
     texts = [r.rate_of_change.description for r in got]
-    assert texts[0].endswith("first reading, establishing baseline")
-    assert "time gap 60.0s exceeds window 60s, new baseline" in texts[2]
-    assert "non-positive time delta (0.000s)" in texts[3]
+    assert texts[0].endswith("no reading before this one")
+    assert "60.0 s since the reading before, more than 60 s" in texts[2]
+    assert "not later than the reading before (0.000 s)" in texts[3]
 
 
 def test_arrival_order_shows_late_readings(spark):
@@ -219,7 +219,7 @@ def test_arrival_order_shows_late_readings(spark):
     ).orderBy("arrival")
     result = [r.rate_of_change for r in got.collect()]
     assert [r.rate for r in result] == [None, 0.5, None, 0.0]
-    assert "non-positive time delta (-10.000s)" in result[2].description
+    assert "not later than the reading before (-10.000 s)" in result[2].description
 
 
 def test_alert_rows(spark):
