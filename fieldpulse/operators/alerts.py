@@ -6,11 +6,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import instant, seconds_between, seconds_of
 from fieldpulse.operators.sequence import fold_buckets, time_slice
+from fieldpulse.session import scratch_dir
 
 DEDUP_KEYS = ("sensor_id", "anomaly_type")
 
@@ -288,3 +289,19 @@ def resolve(alerts: DataFrame, acks: DataFrame) -> DataFrame:
             "resolved_at": F.coalesce("resolved_at", "_resolved_at"),
         }
     ).select(*base.columns)
+
+
+def resolve_stored(spark: SparkSession, path: str, acks: DataFrame) -> None:
+    """Apply acknowledgements to the alert table, rewriting only the days that hold such alerts.
+
+    The new days are written to the shared scratch folder first: the rewrite then reads no
+    folder that it replaces, and repeating it changes nothing.
+    """
+    stored = spark.read.parquet(path)
+    days = stored.join(acks.select("alert_id"), "alert_id", "left_semi").select("date").distinct()
+    staged = scratch_dir(spark, "alert-lifecycle")
+    touched = stored.join(days, "date", "left_semi")
+    resolve(touched, acks).write.partitionBy("date").parquet(staged)
+    spark.read.schema(stored.schema).parquet(staged).write.partitionBy("date").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)

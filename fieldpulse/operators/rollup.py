@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import instant, seconds_between, seconds_of, since
-from fieldpulse.session import scratch_dir
+from fieldpulse.session import file_system, scratch_dir
 from fieldpulse.sources.reference import REFRESH_POLICIES
 
 SERIES = ("platform_id", "sensor_id", "sensor_type")
@@ -135,8 +135,8 @@ def refresh_rollup_table(
     width, start, end, _ = REFRESH_POLICIES[policy] if isinstance(policy, str) else policy
     low, high = refresh_range(as_of, width, start, end)
     days = F.col("date").between(F.lit(low.date()), F.lit((high - dt.timedelta(seconds=1)).date()))
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    store, target = file_system(spark, path)
+    if store.exists(target):
         stored = spark.read.parquet(path).filter(days)
     else:  # the first run
         stored = rollup(facts.limit(0), width, ts, by).withColumn("date", F.to_date("bucket"))
@@ -167,6 +167,21 @@ def drop_expired_partitions(spark: SparkSession, table: str, days: int, as_of) -
     return expired
 
 
+def drop_expired_days(spark: SparkSession, path: str, days: int, as_of) -> list[str]:
+    """The same for a table that is kept by path: deletes its old ``date=…`` folders."""
+    now = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    cutoff = now - dt.timedelta(days=days)
+    store, target = file_system(spark, path)
+    expired = []
+    for status in store.listStatus(target) if store.exists(target) else []:
+        name, _, day = status.getPath().getName().partition("=")
+        if name == "date" and day[:4].isdigit():
+            if dt.datetime.fromisoformat(day) + dt.timedelta(days=1) <= cutoff:
+                store.delete(status.getPath(), True)
+                expired.append(day)
+    return sorted(expired)
+
+
 def readings_per_sec(df: DataFrame, as_of, lookback: str = "1 minute", ts: str = "time") -> DataFrame:
     """Readings in the look-back over the seconds they span, at least one second."""
     span = seconds_between(F.min(ts), F.max(ts))

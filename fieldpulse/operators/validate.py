@@ -25,37 +25,56 @@ def stamp(df: DataFrame, stage: str, at: Column | str | None = None, **constants
     )
 
 
-def validate_schema(
+def schema_outcome(
     df: DataFrame, contract: Contract = READING, keep: tuple[str, ...] = (), **options
-) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) against a contract; the invalid side lists its violations."""
+) -> DataFrame:
+    """Contract columns with ``violations``, and the reason and text of a failure or null.
+
+    One pass; :func:`validate_schema` gives the two sides apart.
+    """
     checked = conform(df, contract, keep=keep, **options)
     bad = F.size("violations") > 0
-    invalid = checked.filter(bad).withColumns(
+    return checked.withColumns(
         {
-            "error_reason": F.lit("schema_violation"),
-            "error_text": F.concat_ws(", ", "violations"),
+            "error_reason": F.when(bad, F.lit("schema_violation")),
+            "error_text": F.when(bad, F.concat_ws(", ", "violations")),
         }
     )
-    return checked.filter(~bad).drop("violations"), invalid
+
+
+def validate_schema(
+    df: DataFrame, contract: Contract = READING, keep: tuple[str, ...] = (), **options
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) against a contract; the invalid side lists its violations."""
+    checked = schema_outcome(df, contract, keep, **options)
+    valid = checked.filter(F.col("error_reason").isNull())
+    return valid.drop("violations", "error_reason", "error_text"), checked.filter(
+        F.col("error_reason").isNotNull()
+    )
+
+
+def gate_error(required: tuple[str, ...] = REQUIRED) -> tuple[Column, Column]:
+    """(reason, text) where a required field holds nothing, else null."""
+    gaps = F.array_compact(F.array(*[F.when(~is_filled(F.col(c)), F.lit(c)) for c in required]))
+    empty = F.size(gaps) > 0
+    return F.when(empty, F.lit("quality_gate")), F.when(
+        empty, F.concat(F.lit("Empty: "), F.concat_ws(", ", gaps))
+    )
+
+
+def gate_outcome(df: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """All rows with ``error_reason`` and ``error_text`` of the gate, null where it lets pass."""
+    reason, text = gate_error(required)
+    return df.withColumns({"error_reason": reason, "error_text": text})
 
 
 def quality_gate(
     df: DataFrame, required: tuple[str, ...] = REQUIRED
 ) -> tuple[DataFrame, DataFrame]:
     """(passed, failed): all required fields must hold something."""
-    flagged = route_if_all(df, {f"has_{c}": is_filled(F.col(c)) for c in required})
-    passed = flagged.filter(F.col("route") == "matched").drop("route")
-    failed = flagged.filter(F.col("route") != "matched").drop("route")
-    gaps = F.array_compact(
-        F.array(*[F.when(~is_filled(F.col(c)), F.lit(c)) for c in required])
-    )
-    return passed, failed.withColumns(
-        {
-            "error_reason": F.lit("quality_gate"),
-            "error_text": F.concat(F.lit("Empty: "), F.concat_ws(", ", gaps)),
-        }
-    )
+    judged = gate_outcome(df, required)
+    passed = judged.filter(F.col("error_reason").isNull()).drop("error_reason", "error_text")
+    return passed, judged.filter(F.col("error_reason").isNotNull())
 
 
 def validate_range(

@@ -405,11 +405,10 @@ def _(v: Views) -> DataFrame:
     ),
 )
 def _(v: Views) -> DataFrame:
-    valid, invalid = validate.validate_schema(_documents(v), enums={"platform_id": None})
-    both = valid.select(F.lit("valid").alias("outcome"), F.lit("").alias("error_text")).unionByName(
-        invalid.select(F.lit("invalid").alias("outcome"), "error_text")
-    )
-    return both.groupBy("outcome", "error_text").agg(F.count(F.lit(1)).alias("records"))
+    judged = validate.schema_outcome(_documents(v), enums={"platform_id": None})
+    outcome = F.when(F.col("error_reason").isNull(), F.lit("valid")).otherwise(F.lit("invalid"))
+    text = F.coalesce("error_text", F.lit("")).alias("error_text")
+    return judged.groupBy(outcome.alias("outcome"), text).agg(F.count(F.lit(1)).alias("records"))
 
 
 # --- projection, filter, routing, validation -------------------------------------------------
@@ -446,10 +445,8 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     fields = {n: f"$.{n}" for n in validate.REQUIRED}
     lifted = readers.extract_fields(v.raw, fields)
-    passed, failed = validate.quality_gate(lifted)
-    return passed.select(
-        "event_id", F.lit("passed").alias("gate"), F.lit(None).cast("string").alias("error_text")
-    ).unionByName(failed.select("event_id", F.lit("failed").alias("gate"), "error_text"))
+    gate = F.when(F.col("error_reason").isNull(), F.lit("passed")).otherwise(F.lit("failed"))
+    return validate.gate_outcome(lifted).select("event_id", gate.alias("gate"), "error_text")
 
 
 @query(
@@ -984,6 +981,31 @@ def _(v: Views) -> DataFrame:
     return kept.select("reading_id", "time")
 
 
+@query("refresh_first_run", sql(rollup_sql("15 minutes"), "readings"))
+def _(v: Views) -> DataFrame:
+    """A site without a stored rollup."""
+    path = scratch_dir(v.spark, "rollup-first")
+    everything = ("15 minutes", "60 days", "0 minutes", "1 hour")
+    rollup.refresh_rollup_table(v.spark, v.readings, path, everything, "2024-01-31 00:15:00")
+    return v.spark.read.parquet(path).drop("date")
+
+
+@query(
+    "retention_on_path",
+    sql(
+        f"""SELECT reading_id, "time" FROM readings
+            WHERE CAST("time" AS DATE) + INTERVAL '1 day' > {NOW} - INTERVAL '10 days'""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Whole expired days leave a fact table that is kept by path."""
+    path = scratch_dir(v.spark, "retained")
+    sinks.write_readings(v.readings, path)
+    rollup.drop_expired_days(v.spark, path, 10, AS_OF)
+    return v.spark.read.parquet(path).select("reading_id", "time")
+
+
 @query(
     "ingest_stats",
     sql(
@@ -1204,17 +1226,25 @@ def _(v: Views) -> DataFrame:
     return kept.select("alert_id", "sensor_id", "detected_at")
 
 
-@query(
-    "alert_lifecycle",
-    sql(
-        """SELECT alert_id, severity = 'CRITICAL' AS acknowledged,
-             CASE WHEN severity = 'CRITICAL' THEN 'operator' END AS acknowledged_by,
-             CASE WHEN severity = 'CRITICAL' THEN detected_at + INTERVAL '10 minutes' END
-               AS acknowledged_at, resolved, resolved_at FROM alerts""",
-        "alerts",
-    ),
+LIFECYCLE_SQL = sql(
+    """SELECT alert_id, severity = 'CRITICAL' AS acknowledged,
+         CASE WHEN severity = 'CRITICAL' THEN 'operator' END AS acknowledged_by,
+         CASE WHEN severity = 'CRITICAL' THEN detected_at + INTERVAL '10 minutes' END
+           AS acknowledged_at, resolved, resolved_at FROM alerts""",
+    "alerts",
 )
-def _(v: Views) -> DataFrame:
+LIFECYCLE_COLUMNS = (
+    "alert_id",
+    "acknowledged",
+    "acknowledged_by",
+    "acknowledged_at",
+    "resolved",
+    "resolved_at",
+)
+
+
+def _acknowledged(v: Views) -> tuple[str, DataFrame]:
+    """The stored alert table, and entries for its critical alerts."""
     path = scratch_dir(v.spark, "alerts")
     al.write_alerts(v.alerts, path)
     acks = v.alerts.filter("severity = 'CRITICAL'").select(
@@ -1223,14 +1253,22 @@ def _(v: Views) -> DataFrame:
         (F.col("detected_at") + F.expr("INTERVAL 10 MINUTES")).alias("acknowledged_at"),
         F.lit(None).cast("timestamp").alias("resolved_at"),
     )
-    return al.resolve(v.spark.read.parquet(path), acks).select(
-        "alert_id",
-        "acknowledged",
-        "acknowledged_by",
-        "acknowledged_at",
-        "resolved",
-        "resolved_at",
-    )
+    return path, acks
+
+
+@query("alert_lifecycle", LIFECYCLE_SQL)
+def _(v: Views) -> DataFrame:
+    path, acks = _acknowledged(v)
+    return al.resolve(v.spark.read.parquet(path), acks).select(*LIFECYCLE_COLUMNS)
+
+
+@query("alert_lifecycle_stored", LIFECYCLE_SQL)
+def _(v: Views) -> DataFrame:
+    """The table itself after the write-back, applied twice."""
+    path, acks = _acknowledged(v)
+    al.resolve_stored(v.spark, path, acks)
+    al.resolve_stored(v.spark, path, acks)
+    return v.spark.read.parquet(path).select(*LIFECYCLE_COLUMNS)
 
 
 # --- dashboards --------------------------------------------------------------------------------------

@@ -17,9 +17,8 @@ from fieldpulse.operators.routing import (
     compliance_events,
     route_severity,
     rule_anomalies,
-    union_dlq,
 )
-from fieldpulse.operators.validate import quality_gate, validate_range
+from fieldpulse.operators.validate import gate_error, quality_gate, validate_range
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources.contracts import normalize_vocabulary
 from fieldpulse.sources.sinks import archive_json, to_dlq, to_reading_rows, write_dlq, write_readings
@@ -128,11 +127,17 @@ class Stages:
 
     @property
     def dead_letters(self) -> DataFrame:
-        bad = split_errors(self.parsed)[1]
-        at = self.config.failed_at
-        return union_dlq(
-            to_dlq(bad, "parse", at), to_dlq(quality_gate(self._good)[1], "validation", at)
+        reason, text = gate_error()
+        unread = F.col("error_reason").isNotNull()
+        judged = normalize_vocabulary(self.parsed).withColumns(
+            {
+                "stage": F.when(unread, F.lit("parse")).otherwise(F.lit("validation")),
+                "error_reason": F.coalesce("error_reason", reason),
+                "error_text": F.when(unread, F.col("error_text")).otherwise(text),
+            }
         )
+        rejected = judged.filter(F.col("error_reason").isNotNull())
+        return to_dlq(rejected, F.col("stage"), self.config.failed_at)
 
 
 def stateless_stages(raw: DataFrame, dims: Dimensions, config: FlowConfig) -> Stages:

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from fieldpulse.config import DetectorConfig
 from fieldpulse.functions.times import instant
 from fieldpulse.operators.detect import threshold_detect
-from fieldpulse.operators.parse import parse_reading
-from fieldpulse.operators.routing import union_dlq
+from fieldpulse.operators.parse import with_parsed
 from fieldpulse.session import use_utc
 from fieldpulse.sources.sinks import to_dlq
 
@@ -271,14 +270,17 @@ class Views:
     @cached_property
     def dlq(self) -> DataFrame:
         """Dead letters of two stages over the raw documents."""
-        good, bad = parse_reading(self.raw)
-        low = good.filter(F.col("quality_flag") == "BAD").withColumns(
-            {"error_reason": F.lit("bad_quality"), "error_text": F.lit("quality flag BAD")}
-        )
-        return union_dlq(
-            to_dlq(bad, "parse", F.col("received_at")),
-            to_dlq(low, "quality", F.col("received_at")),
+        parsed = with_parsed(self.raw)
+        unread = F.col("error_reason").isNotNull()
+        low = ~unread & F.coalesce(F.col("quality_flag") == "BAD", F.lit(False))
+        judged = parsed.filter(unread | low).withColumns(
+            {
+                "stage": F.when(unread, F.lit("parse")).otherwise(F.lit("quality")),
+                "error_reason": F.coalesce("error_reason", F.lit("bad_quality")),
+                "error_text": F.coalesce("error_text", F.lit("quality flag BAD")),
+            }
         )
+        return to_dlq(judged, F.col("stage"), F.col("received_at"))
 
 
 def load(spark: SparkSession, folder: str) -> Views:

@@ -55,10 +55,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the store that Spark reaches under this path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Deletes the folders handed out so far; results that still read them must be done with."""
-    jvm, n = spark.sparkContext._jvm, 0
+    n = 0
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        store, path = file_system(spark, _SCRATCH.pop())
+        n += store.delete(path, True)
     return n

@@ -193,16 +193,24 @@ def convert(
 DLQ_COLUMNS = ("stage", "error_reason", "error_text", "sensor_id", "platform_id", "body")
 
 
-def to_dlq(df: DataFrame, stage: str, failed_at: Column | str | None = None) -> DataFrame:
+ARRIVAL_TIMES = ("received_at", "ingested_at", "time", "detected_at")
+
+
+def to_dlq(
+    df: DataFrame, stage: Column | str, failed_at: Column | str | None = None
+) -> DataFrame:
     """Rejected rows in the common dead-letter layout.
 
     ``body`` is the original document where there is one, else the row as JSON. ``failed_at``
-    is a column, a literal time or, left out, the time of processing.
+    is a column, a literal time or, left out, the row's arrival or event time, so that a
+    repeated batch writes to the same folders; null where a row has none.
     """
-    at = F.current_timestamp() if failed_at is None else failed_at
-    at = at if isinstance(at, Column) else instant(at)
+    if failed_at is None:
+        known = [F.col(c).cast("timestamp") for c in ARRIVAL_TIMES if c in df.columns]
+        failed_at = F.coalesce(*known) if known else F.lit(None)
+    at = failed_at if isinstance(failed_at, Column) else instant(failed_at)
     body = F.col("body") if "body" in df.columns else F.to_json(F.struct(*df.columns))
-    columns = {"stage": F.lit(stage), "body": body}
+    columns = {"stage": stage if isinstance(stage, Column) else F.lit(stage), "body": body}
     for name in DLQ_COLUMNS:
         if name not in columns:
             columns[name] = F.col(name) if name in df.columns else F.lit(None)

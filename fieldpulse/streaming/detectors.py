@@ -202,19 +202,24 @@ class HoldState(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("at_us", kind="stable")
         since, fired = self.state.get() if self.state.exists() else (None, False)
-        found = []
-        for us, held in zip(pdf["at_us"], pdf["held"], strict=True):
-            if not held:
-                since, fired = None, False
-                continue
-            since = int(us) if since is None else since
-            if not fired and us - since >= self.hold_us:
-                fired = True
-                found.append((since, int(us)))
-        self.state.update((since, fired))
-        if found:
-            out = pd.DataFrame([list(key)] * len(found), columns=self.series)
-            out["since_us"], out["fired_us"] = zip(*found, strict=True)
+        us, held = pdf["at_us"].to_numpy(np.int64), pdf["held"].to_numpy(bool)
+        # Run 0 continues the stored episode, the others start where the condition sets in.
+        before = np.concatenate(([since is not None], held[:-1]))
+        starts = np.flatnonzero(held & ~before)
+        run = np.searchsorted(starts, np.arange(len(us)), "right")
+        begun = np.concatenate(([us[0] if since is None else since], us[starts]))[run]
+        due = held & (us - begun >= self.hold_us)
+        if fired:
+            due &= run > 0
+        runs, first = np.unique(run[due], return_index=True)
+        at = np.flatnonzero(due)[first]
+        if held[-1]:
+            self.state.update((int(begun[-1]), bool(run[-1] in runs or (fired and run[-1] == 0))))
+        else:
+            self.state.update((None, False))
+        if len(at):
+            out = pd.DataFrame([list(key)] * len(at), columns=self.series)
+            out["since_us"], out["fired_us"] = begun[at], us[at]
             yield out
 
     def close(self) -> None:

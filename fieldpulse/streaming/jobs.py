@@ -117,15 +117,22 @@ def start_alert_sink(stream: DataFrame, path: str, checkpoint: str, **options) -
 def start_records_sink(
     stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet", **options
 ) -> StreamingQuery:
-    """Keyed records to topic folders or, with its package present, to Kafka."""
+    """Keyed records to topic folders or, with its package present, to Kafka.
+
+    ``trigger`` holds for both; Kafka takes no other option.
+    """
     if fmt != "kafka":
         return start_file_sink(
             stream, target, checkpoint, fmt=fmt, partition_by=("topic",), **options
         )
+    unknown = set(options) - {"trigger"}
+    if unknown:
+        raise ValueError(f"options without effect on Kafka: {sorted(unknown)}")
     return (
         stream.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", target)
         .option("checkpointLocation", checkpoint)
+        .trigger(**(options.pop("trigger", None) or {"processingTime": MERGE_TRIGGER}))
         .start()
     )
 
@@ -221,10 +228,12 @@ def start_flow(
     config: FlowConfig | None = None,
     max_files: int | None = 100,
     trigger: dict | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
     """The ingest flow as a stream over landed JSON files."""
     config = config or FlowConfig()
-    raw = explode_batch(read_readings(spark, source, streaming=True, max_files=max_files))
+    source_rows = read_readings(spark, source, streaming=True, max_files=max_files, max_bytes=max_bytes)
+    raw = explode_batch(source_rows)
     return (
         raw.writeStream.foreachBatch(fan_out_batch(spark, dims, FlowPaths(out), config))
         .option("checkpointLocation", checkpoint)
