@@ -1628,6 +1628,26 @@ def _(v: Views) -> DataFrame:
     return v.spark.read.parquet(paths["readings"]).drop("date")
 
 
+@query(
+    "flow_dlq",
+    sql(
+        """SELECT CASE WHEN error_reason IS NULL THEN 'range' ELSE 'parse' END AS stage,
+             coalesce(error_reason, 'out_of_range') AS error_reason, sensor_id, body,
+             received_at AS failed_at FROM parsed
+           WHERE error_reason IS NOT NULL OR TRY_CAST(value_text AS DOUBLE) NOT BETWEEN 0 AND 300""",
+        "parsed",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """The dead letters after a run of the whole batch flow, with the full archive layout."""
+    config = flow.FlowConfig(FIXTURE, RULE_FIXTURE)
+    paths = flow.run_batch(v.raw, dimensions(v), scratch_dir(v.spark, "flow"), config)
+    schema = "error_reason string, sensor_id string, body string, failed_at timestamp, stage string"
+    return v.spark.read.schema(schema).json(f"{paths['dlq']}/dlq").select(
+        "stage", "error_reason", "sensor_id", "body", "failed_at"
+    )
+
+
 @query(
     "stream_rollup",
     sql(

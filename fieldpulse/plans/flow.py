@@ -21,7 +21,26 @@ from fieldpulse.operators.routing import (
 from fieldpulse.operators.validate import gate_error, quality_gate, validate_range
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources.contracts import normalize_vocabulary
-from fieldpulse.sources.sinks import archive_json, to_dlq, to_reading_rows, write_dlq, write_readings
+from fieldpulse.sources.sinks import (
+    archive_json,
+    to_dlq,
+    to_keyed_records,
+    to_reading_rows,
+    write_dlq,
+    write_readings,
+    write_records,
+)
+
+
+# Topics of the keyed outputs.
+TOPICS = {
+    "raw": "sensor.raw",
+    "validated": "sensor.validated",
+    "enriched": "sensor.enriched",
+    "alert": "sensor.alert",
+    "compliance": "sensor.compliance",
+    "dlq": "sensor.dlq",
+}
 
 
 @dataclass(frozen=True)
@@ -101,11 +120,9 @@ class Stages:
         return rule_anomalies(self.gated, self.config.rule_limits)
 
     @property
-    def alerts(self) -> DataFrame:
-        """Stateless alerts: fixed limits, and the domain rules in the same layout."""
-        by_limits = chain_to_alerts(threshold_detect(self.gated, self.config.detectors))
-        rules = self.rule_hits
-        by_rules = rules.select(
+    def rule_alerts(self) -> DataFrame:
+        """The domain rules' hits in the layout of the detectors' alerts."""
+        return self.rule_hits.select(
             F.sha2(F.concat_ws("|", "reading_id", "anomaly_type"), 256).alias("alert_id"),
             "sensor_id",
             "platform_id",
@@ -119,7 +136,15 @@ class Stages:
             "detected_at",
             "reading_id",
         )
-        return route_severity(by_limits.unionByName(by_rules))
+
+    def routed(self, detected: DataFrame) -> DataFrame:
+        """Detector and rule alerts with their channels."""
+        return route_severity(detected.unionByName(self.rule_alerts))
+
+    @property
+    def alerts(self) -> DataFrame:
+        """Stateless alerts: fixed limits and domain rules."""
+        return self.routed(chain_to_alerts(threshold_detect(self.gated, self.config.detectors)))
 
     @property
     def compliance(self) -> DataFrame:
@@ -127,13 +152,33 @@ class Stages:
 
     @property
     def dead_letters(self) -> DataFrame:
+        """The four feeds in one pass: unread, gate, unknown sensor, value out of its range."""
+        known = self.dims.sensors.select(
+            F.col("sensor_id").alias("_sensor"), "min_range", "max_range"
+        )
+        rows = normalize_vocabulary(self.parsed)
+        rows = rows.join(known, rows.sensor_id == known._sensor, "left")
         reason, text = gate_error()
-        unread = F.col("error_reason").isNotNull()
-        judged = normalize_vocabulary(self.parsed).withColumns(
+        value = F.col("value")
+        outside = ~F.isnan(value) & ((value < F.col("min_range")) | (value > F.col("max_range")))
+        unread, gated = F.col("error_reason").isNotNull(), reason.isNotNull()
+        unknown = F.col("_sensor").isNull()
+        outside = F.coalesce(outside, F.lit(False))
+
+        def first(*choices) -> Column:
+            chosen = F.when(unread, choices[0]).when(gated, choices[1])
+            return chosen.when(unknown, choices[2]).when(outside, choices[3])
+
+        limits = F.concat_ws(" to ", F.col("min_range").cast("string"), F.col("max_range").cast("string"))
+        judged = rows.withColumns(
             {
-                "stage": F.when(unread, F.lit("parse")).otherwise(F.lit("validation")),
-                "error_reason": F.coalesce("error_reason", reason),
-                "error_text": F.when(unread, F.col("error_text")).otherwise(text),
+                "stage": first(F.lit("parse"), F.lit("validation"), F.lit("enrichment"), F.lit("range")),
+                "error_reason": first(
+                    F.col("error_reason"), reason, F.lit("unknown_sensor"), F.lit("out_of_range")
+                ),
+                "error_text": first(
+                    F.col("error_text"), text, F.lit(None).cast("string"), F.concat(F.lit("outside "), limits)
+                ),
             }
         )
         rejected = judged.filter(F.col("error_reason").isNotNull())
@@ -149,6 +194,9 @@ def run_batch(
 ) -> dict[str, str]:
     """The whole flow over one set of documents; returns where each result was written.
 
+    Outputs: facts, archive, routed alerts of detectors and rules, compliance events, dead letters
+    of four feeds, and all of them as keyed topics.
+
     Detectors that look back run over the gated readings of this call. Documents are parsed
     once into a table in the shared scratch folder; every sink reads the columns it needs from
     there, and a lost executor does not cost a second parse.
@@ -158,9 +206,27 @@ def run_batch(
     staged = scratch_dir(spark, "flow-parsed")
     with_parsed(raw).write.parquet(staged)
     stages = Stages(spark.read.parquet(staged), dims, config)
-    paths = {n: f"{out}/{n}" for n in ("readings", "alerts", "archive", "dlq")}
+    outputs = ("readings", "alerts", "compliance", "archive", "dlq", "topics")
+    paths = {n: f"{out}/{n}" for n in outputs}
     write_readings(stages.gated, paths["readings"])
     archive_json(stages.enriched, paths["archive"], layout=config.archive_layout)
-    write_alerts(detect_all(stages.gated, config.detectors), paths["alerts"])
+    # Read again below, so that detectors that look back run once.
+    found = scratch_dir(spark, "flow-alerts")
+    stages.routed(detect_all(stages.gated, config.detectors)).write.parquet(found)
+    alerts = spark.read.parquet(found)
+    events = compliance_events(alerts)
+    write_alerts(alerts, paths["alerts"])
+    events.withColumn("date", F.to_date("detected_at")).write.mode("append").partitionBy("date").parquet(
+        paths["compliance"]
+    )
     write_dlq(stages.dead_letters, paths["dlq"])
+    for records in (
+        to_keyed_records(raw.select("body"), [F.lit("raw")], TOPICS["raw"]),
+        to_keyed_records(stages.validated.drop("body", "value_text"), ["sensor_id"], TOPICS["validated"]),
+        to_keyed_records(stages.enriched, ["sensor_id"], TOPICS["enriched"]),
+        to_keyed_records(alerts, ["sensor_id", "anomaly_type"], TOPICS["alert"]),
+        to_keyed_records(events, ["platform_id", "report_type"], TOPICS["compliance"]),
+        to_keyed_records(stages.dead_letters, ["stage"], TOPICS["dlq"]),
+    ):
+        write_records(records, paths["topics"])
     return paths

@@ -3,12 +3,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from fieldpulse.session import build_session  # noqa: E402
+from fieldpulse.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,10 +21,12 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="fieldpulse-tests-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 
