@@ -177,14 +177,15 @@ def best_of_block(q: _Side, c: _Side, floor: np.ndarray, k: int) -> tuple[np.nda
     return kept
 
 
-def _floors(axes, head: int, k: int):
+def _floors(axes, head: int, k: int, ids: bytes, values: bytes):
     """Adds to each query block the k-th scores that the block of the longest vectors gives."""
 
     def run(batches):
+        c = _Side(ids, values, axes, head)
         for batch in batches:
             out = []
-            for row in batch.select(["ids", "values", "c_ids", "c_values"]).to_pylist():
-                q, c = _Side(row["ids"], row["values"], axes, head), _Side(row["c_ids"], row["c_values"], axes, head)
+            for row in batch.select(["ids", "values"]).to_pylist():
+                q = _Side(row["ids"], row["values"], axes, head)
                 floor = np.full(len(q.ids), -np.inf)
                 i, _, score = best_of_block(q, c, floor, k)
                 full = np.bincount(i, minlength=len(q.ids)) >= k
@@ -248,13 +249,10 @@ def top_k(
         return empty
     axes, head = rotation(vectors, width)
     blocks = written(_blocks(vectors, width, vectors_per_block, total), "blocks")
-    # One block of bounded size: the longest vectors.
-    first = blocks.orderBy("block").limit(1).select(F.col("ids").alias("c_ids"), F.col("values").alias("c_values"))
-    first = written(first.withColumn("one", F.lit(1)), "longest")
-    asking = _blocks(queries, width, queries_per_block, asked).withColumn("one", F.lit(1))
-    asking = asking.join(F.broadcast(first), "one")
-    asking = asking.select("block", "ids", "values", "c_ids", "c_values").mapInArrow(
-        _floors(axes, head, k), "qb long, q_ids binary, q_values binary, floor binary, need double"
+    longest = blocks.orderBy("block").limit(1).first()  # one block, of bounded size
+    asking = _blocks(queries, width, queries_per_block, asked).mapInArrow(
+        _floors(axes, head, k, bytes(longest.ids), bytes(longest["values"])),
+        "qb long, q_ids binary, q_values binary, floor binary, need double",
     )
     asking = written(asking, "queries")
     # Block pairs by length: a query block meets the levels that can still reach one of its floors.
