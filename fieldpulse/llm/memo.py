@@ -6,7 +6,7 @@ from __future__ import annotations
 class Memo(dict):
     """Answers by unit, kept for the most recent ``2 * size`` units and computed again otherwise."""
 
-    def __init__(self, compute, size: int = 150_000):
+    def __init__(self, compute, size: int = 300_000):
         self.compute, self.size, self.old = compute, size, {}
 
     def __missing__(self, unit):

@@ -29,6 +29,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 PIECE = 1 << 20
 SEGMENT = 1 << 20
+_NEVER = float("-inf")  # the score of a pair that makes no piece
 _EACH = "fieldpulse-each-byte"
 
 codecs.register_error(_EACH, lambda bad: ("\ufffd", bad.start + 1))
@@ -194,17 +195,17 @@ class PieceModel:
 
     def _merged(self, unit: str) -> bytes:
         """Ids of a unit as packed 32-bit numbers: best score first, then leftmost."""
-        scores, parts = self.scores, list(unit)
+        parts, get = list(unit), self.scores.get
         if len(parts) <= 48:
-            while len(parts) > 1:
-                best, at = None, -1
-                for i in range(len(parts) - 1):
-                    score = scores.get(parts[i] + parts[i + 1])
-                    if score is not None and (best is None or score > best):
-                        best, at = score, i
-                if at < 0:
-                    break
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            found = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            while found and (best := max(found)) > _NEVER:
+                i = found.index(best)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                del found[i]
+                if i < len(found):
+                    found[i] = get(parts[i] + parts[i + 1], _NEVER)
+                if i:
+                    found[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
         else:
             parts = self._merged_long(parts)
         ids: list[int] = []
