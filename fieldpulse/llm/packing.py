@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.tables import pieces, table, written
-from fieldpulse.llm.word_tokens import KIND, default_path, tokenizer
+from fieldpulse.llm.word_tokens import default_path, tokenizer
 
 LONGEST = 2048
 BUCKETS = 16
 BUDGET = 65_536  # tokens of a batch, padding included
-PIECE = 1 << 22
+PIECE = 1 << 21
 PER_SLOT = 2000
 SLOTS = 65_536
 
@@ -69,14 +69,16 @@ def sequences(
 
     def run(batches):
         own = tokenizer(path)
+        size = own.kind.itemsize
         for batch in pieces(batches, PIECE):
             rows: list[list] = [[], [], [], [], [], []]
-            for doc_id, digest, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = own.packed(t or b"")
-                total = len(ids) // KIND.itemsize
+            doc_ids, digests, texts = (batch.column(i).to_pylist() for i in range(3))
+            encoded = own.packed([t or b"" for t in texts])
+            for doc_id, digest, ids in zip(doc_ids, digests, encoded, strict=True):
+                total = len(ids) // size
                 for chunk, start in enumerate(range(0, max(total, 1), longest)):
                     n = min(longest, total - start)
-                    part = ids[start * KIND.itemsize : (start + n) * KIND.itemsize] if with_ids else None
+                    part = ids[start * size : (start + n) * size] if with_ids else None
                     for column, value in zip(rows, (doc_id, digest, chunk, start, n, part), strict=True):
                         column.append(value)
             kinds = pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()
@@ -107,7 +109,7 @@ def packed(
 
     ``batch`` counts over all buckets, ``place`` within the batch; only the last batch of a
     bucket may be short. A sequence without tokens is in no batch (nulls). ``with_ids`` adds the
-    packed ids. Repeated rows are packed as often as they occur.
+    ids, packed as the tokenizer does (``kind``). Repeated rows are packed as often as they occur.
     """
     found = written(sequences(docs, path, longest, with_ids, text, id_column), "sequences")
     histogram = sorted((r.n_tokens, r.n) for r in found.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())

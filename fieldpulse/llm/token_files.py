@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 
 from fieldpulse.llm import rans
 from fieldpulse.llm.tables import pieces, table, written
-from fieldpulse.llm.word_tokens import KIND, default_path, tokenizer
+from fieldpulse.llm.word_tokens import default_path, tokenizer
 from fieldpulse.session import scratch_dir
 
+KIND = np.dtype("<u4")
 PART = 1 << 24
 FRAME = 1 << 18
-PIECE = 1 << 22
+SENT_PARTS = 100_000
+PIECE = 1 << 21
 
 _FRAMES = "part int, frame int, first long, doc_ids array<long>, sizes array<long>, body binary"
 
@@ -35,37 +37,44 @@ _FRAMES = "part int, frame int, first long, doc_ids array<long>, sizes array<lon
 def token_ids(
     docs: DataFrame, path: str, end: int | None = 1, text: str = "text", id_column: str = "doc_id"
 ) -> DataFrame:
-    """doc_id and packed 32-bit ids of each row's whole text; a null text is an empty one."""
-    tail = b"" if end is None else np.array([end], KIND).tobytes()
+    """doc_id and ids of each row's whole text, packed as the tokenizer does (``kind``).
+
+    A null text is an empty one.
+    """
 
     def run(batches):
         own = tokenizer(path)
+        tail = b"" if end is None else np.array([end], own.kind).tobytes()
         for batch in pieces(batches, PIECE):
-            ids = [own.packed(t.as_py() or b"") + tail for t in batch.column(1)]
+            ids = [x + tail for x in own.packed([t.as_py() or b"" for t in batch.column(1)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return plain.mapInArrow(run, "doc_id long, ids binary")
 
 
-def _counted(batches):
+def _counted(kind: np.dtype):
     """(id, times) for all batches of a task."""
-    counts = np.zeros(1, np.int64)
-    for batch in batches:
-        for row in batch.column(0):
-            found = np.bincount(np.frombuffer(row.as_py(), KIND))
-            if len(found) > len(counts):
-                counts = np.pad(counts, (0, len(found) - len(counts)))
-            counts[: len(found)] += found
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "times"])
+
+    def run(batches):
+        counts = np.zeros(1, np.int64)
+        for batch in batches:
+            for part in pieces([batch], PIECE, "ids"):
+                found = np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), kind))
+                if len(found) > len(counts):
+                    counts = np.pad(counts, (0, len(found) - len(counts)))
+                counts[: len(found)] += found
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "times"])
+
+    return run
 
 
 def _lists(values: list[list]) -> pa.Array:
     return pa.array(values, pa.list_(pa.int64()))
 
 
-def _framed(counts: np.ndarray, frame_tokens: int):
+def _framed(counts: np.ndarray, frame_tokens: int, kind: np.dtype):
     def run(batches):
         freq = rans.Frequencies(counts)
         part = TaskContext.get().partitionId()
@@ -74,7 +83,7 @@ def _framed(counts: np.ndarray, frame_tokens: int):
         names: list[int | None] = []
 
         def frame():
-            tokens = np.frombuffer(b"".join(ids), KIND)
+            tokens = np.frombuffer(b"".join(ids), kind)
             body = rans.encode(tokens, freq)
             return pa.RecordBatch.from_arrays(
                 [
@@ -82,7 +91,7 @@ def _framed(counts: np.ndarray, frame_tokens: int):
                     pa.array([number], pa.int32()),
                     pa.array([first], pa.int64()),
                     _lists([names]),
-                    _lists([[len(x) // KIND.itemsize for x in ids]]),
+                    _lists([[len(x) // kind.itemsize for x in ids]]),
                     pa.array([body], pa.binary()),
                 ],
                 names=["part", "frame", "first", "doc_ids", "sizes", "body"],
@@ -93,7 +102,7 @@ def _framed(counts: np.ndarray, frame_tokens: int):
                 own = row.as_py()
                 ids.append(own)
                 names.append(doc_id)
-                size += len(own) // KIND.itemsize
+                size += len(own) // kind.itemsize
                 if size >= frame_tokens:
                     yield frame()
                     number, first, size, ids, names = number + 1, first + size, 0, [], []
@@ -103,15 +112,17 @@ def _framed(counts: np.ndarray, frame_tokens: int):
     return run
 
 
-def write_tokens(tokens: DataFrame, folder: str, part: int = PART, frame: int = FRAME) -> str:
-    """Writes doc_id, ids (packed) in ascending order of doc_id, nulls first."""
+def write_tokens(
+    tokens: DataFrame, folder: str, kind: np.dtype = KIND, part: int = PART, frame: int = FRAME
+) -> str:
+    """Writes doc_id, ids (packed numbers of ``kind``) in ascending order of doc_id, nulls first."""
     tokens = written(tokens, "token-ids")
-    counts = tokens.select("ids").mapInArrow(_counted, "id long, times long").groupBy("id").agg(F.sum("times").alias("times"))
+    counts = tokens.select("ids").mapInArrow(_counted(kind), "id long, times long").groupBy("id").agg(F.sum("times").alias("times"))
     counts.coalesce(1).write.parquet(f"{folder}/table")
     table_counts = _counts(tokens.sparkSession, folder)
     parts = max(1, -(-int(table_counts.sum()) // part))
     ordered = tokens.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_framed(table_counts, frame), _FRAMES).write.parquet(f"{folder}/ids")
+    ordered.mapInArrow(_framed(table_counts, frame, kind), _FRAMES).write.parquet(f"{folder}/ids")
     return folder
 
 
@@ -124,8 +135,9 @@ def _counts(spark: SparkSession, folder: str) -> np.ndarray:
     return counts
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it) and packed ids, decoded from the files."""
+def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """The documents of the files: doc_id, start (ids of all documents before it), n_tokens,
+    ids_crc32 (of the packed ids) and, on demand, the packed ids."""
     counts = _counts(spark, folder)
 
     def run(batches):
@@ -133,44 +145,38 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 names, sizes = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
-                ids = rans.decode(batch.column(5)[i].as_py(), freq).astype(KIND, copy=False)
+                body = rans.decode(batch.column(5)[i].as_py(), freq).astype(KIND, copy=False).tobytes()
                 edges = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-                if edges[-1] != len(ids):
+                if edges[-1] * KIND.itemsize != len(body):
                     raise rans.Damaged("sizes of the documents")
-                first = batch.column(2)[i].as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch.column(0)[i].as_py()] * len(names), pa.int32()),
-                        pa.array(names, pa.int64()),
-                        pa.array(edges[:-1] + first),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
-                    ],
-                    names=["part", "doc_id", "start", "ids"],
-                )
-
+                cuts = (edges * KIND.itemsize).tolist()
+                ids = [body[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+                columns = [
+                    pa.array([batch.column(0)[i].as_py()] * len(names), pa.int32()),
+                    pa.array(names, pa.int64()),
+                    pa.array(edges[:-1] + batch.column(2)[i].as_py()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                ]
+                if with_ids:
+                    columns.append(pa.array(ids, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names_out)
+
+    names_out = ["part", "doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+    schema = "part int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     frames = spark.read.schema(_FRAMES).parquet(f"{folder}/ids")
-    # One row for each part: the tokens of the parts before it.
+    # One row for each part, which stands for PART tokens: the tokens of the parts before it.
     sizes = frames.groupBy("part").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = sizes.selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS before")
-    rows = frames.mapInArrow(run, "part int, doc_id long, start long, ids binary")
-    return rows.join(before, "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "ids")
-
-
-def _crc(batches):
-    for batch in batches:
-        rows = [row.as_py() for row in batch.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array([len(x) // KIND.itemsize for x in rows], pa.int64()),
-                pa.array([zlib.crc32(x) for x in rows], pa.int64()),
-            ],
-            names=["doc_id", "start", "n_tokens", "ids_crc32"],
-        )
+    highest = frames.agg(F.max("part")).first()[0] or 0
+    # Sent to all executors up to a proven size; more parts are joined by a shuffle.
+    before = F.broadcast(before) if highest < SENT_PARTS else before
+    rows = frames.mapInArrow(run, schema).join(before, "part")
+    return rows.withColumn("start", F.col("start") + F.col("before")).select(*names_out[1:])
 
 
 def op4_rans_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    tokens = token_ids(table(spark, sf_dir, "documents"), path or default_path())
-    folder = write_tokens(tokens, scratch_dir(spark, "token-files"))
-    return read_tokens(spark, folder).mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    path = path or default_path()
+    tokens = token_ids(table(spark, sf_dir, "documents"), path)
+    folder = write_tokens(tokens, scratch_dir(spark, "token-files"), tokenizer(path).kind)
+    return read_tokens(spark, folder, with_ids=False)

@@ -7,38 +7,146 @@ once while it stays in memory.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 
-from fieldpulse.llm.memo import Memo
+_KEPT = 1_200_000  # words in memory, about 150 bytes each
+_TOGETHER = 300
+_MARKS = b".,;:!?"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_SPECIAL = b"<|"
 
-KIND = np.dtype("<u4")
+
+def _visible_bytes() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself,
+    or for bytes without one, the next from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Known(dict):
+    """Ids by word; words that it lacks are noted and answered by None."""
+
+    def __init__(self):
+        self.lacking: set[bytes] = set()
+
+    def __missing__(self, word: bytes) -> None:
+        self.lacking.add(word)
 
 
 class WordTokenizer:
+    """Words through the tokenizers library, each distinct one once.
+
+    A mark behind a letter or digit is a token of its own, so it is split off first; where the
+    tokenizer folds case, so do the keys. A word of composed lower-case Latin letters passes
+    normalisation and splitting unchanged and goes straight to the library's model, where a
+    trial at the start shows the same ids.
+    """
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self.size = tokenizer.get_vocab_size()
-        self.memo = Memo(
-            lambda word: np.array(
-                tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, KIND
-            ).tobytes()
-        )
-
-    def packed(self, text: bytes, span: int = 1 << 22) -> bytes:
-        """Ids as packed little-endian 32-bit numbers."""
-        found, start = [], 0
-        while start < len(text):
-            stop = min(start + span, len(text))
-            while stop < len(text) and text[stop] not in b" \t\n\r\x0b\x0c":
-                stop += 1
-            found += map(self.memo.__getitem__, text[start:stop].split())
-            start = stop
-        return b"".join(found)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.known = _Known()
+        self.folds = self._ids(b"AbC") == self._ids(b"abc")
+        self.code = "H" if self.kind.itemsize == 2 else "I"  # as little-endian machines store them
+        self.model = self.tokenizer.model
+        self.letters = _visible_bytes()
+        trial = ["a", "word", "thionatingly", "été", "straße", "ñandúes", "ÿþ", "zzzzqqqqxxxx"]
+        self.direct = all(self._modelled(w.encode()) == self._ids(w.encode()) for w in trial)
+        self.marks = {m: self._ids(bytes([m])) for m in _MARKS}
+        self.splits = all(self._ids(b"word" + bytes([m])) == self._ids(b"word") + i for m, i in self.marks.items())
+
+    def _ids(self, word: bytes) -> bytes:
+        done = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
+        return np.array(done.ids, self.kind).tobytes()
+
+    def _modelled(self, word: bytes) -> bytes:
+        shown = word.decode("latin-1")
+        if not word.isalnum():  # of ASCII letters and digits, each stands for itself
+            shown = shown.translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    @staticmethod
+    def _is_plain(word: str) -> bool:
+        """Only letters below U+0250 that lower case and composition leave as they are."""
+        if not word.isalpha():
+            return False
+        if word.isascii():
+            return word.islower()
+        return max(word) < "\u0250" and word == word.lower() and is_normalized("NFC", word)
+
+    def _core(self, word: bytes) -> bytes:
+        if self.splits and len(word) > 1 and word[-1] in self.marks and word[-2] in _ALNUM:
+            return word[:-1]
+        return word
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encodes new words together and shares the ids out by their places."""
+        cores = []
+        for word in {self._core(w) for w in words} - self.known.keys():
+            if self.direct and self._is_plain(word.decode("utf-8", "replace")):
+                self.known[word] = self._modelled(word)
+            else:
+                cores.append(word)
+        for start in range(0, len(cores), _TOGETHER):
+            part = cores[start : start + _TOGETHER]
+            texts = [w.decode("utf-8", "replace") for w in part]
+            done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            owner = np.searchsorted(first, [o[0] for o in done.offsets], "right") - 1
+            edges = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(part))))) * self.kind.itemsize
+            packed = np.array(done.ids, self.kind).tobytes()
+            for word, a, b in zip(part, edges.tolist(), edges[1:].tolist(), strict=False):
+                self.known[word] = packed[a:b]
+        for word in words:
+            core = self._core(word)
+            if core is not word:
+                self.known[word] = self.known[core] + self.marks[word[-1]]
+
+    def packed(self, texts: list[bytes], span: int = 1 << 22) -> list[bytes]:
+        """Ids of each text as packed little-endian numbers of ``kind``."""
+        if sum(map(len, texts)) > span:
+            return [b"".join(self._run(p) for p in _parts(t, span)) for t in texts]
+        return self._together(texts)
+
+    def _run(self, text: bytes) -> bytes:
+        return self._together([text])[0]
+
+    def _together(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > _KEPT:
+            self.known = _Known()
+        words: list[bytes] = []
+        ends = []
+        for t in texts:
+            words += (t.lower() if self.folds and _SPECIAL not in t else t).split()
+            ends.append(len(words))
+        found = list(map(self.known.__getitem__, words))
+        if self.known.lacking:
+            self._learn(self.known.lacking)
+            self.known.lacking = set()
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                found[at] = self.known[words[at]]
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _parts(text: bytes, span: int):
+    """A text in parts of about ``span`` bytes, cut at white space."""
+    start = 0
+    while start < len(text):
+        stop = min(start + span, len(text))
+        while stop < len(text) and text[stop] not in b" \t\n\r\x0b\x0c":
+            stop += 1
+        yield text[start:stop]
+        start = stop
 
 
 @lru_cache(maxsize=4)

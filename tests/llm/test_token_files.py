@@ -19,11 +19,14 @@ def test_words_match_the_library():
     rng = random.Random(3)
     letters = "  abcStté'ÉΣİ0123,.!<|endoftext|>\n\t\x0b\x1c\x85  日本́가🙂"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(800)]
-    texts += ["it's  we'll", "a<|startoftext|>b <|endoftext|>", "", " ", "́ x ́", "ΑΣ ΑΣ", "x" * 300, "e\ń"]
-    for text in texts:
+    texts += ["it's  we'll", "End. end, END! x.. 3, 3.5 é. <|ENDOFTEXT|> Don't. 's, don'T", "<|endoftext|>. A.", "a<|startoftext|>b <|endoftext|>", "", " ", "́ x ́", "ΑΣ ΑΣ", "x" * 300, "e\ń"]
+    assert own.direct and own.folds and own.splits and own.kind.itemsize == 2
+    packed = own.packed([t.encode() for t in texts])
+    for text, got in zip(texts, packed, strict=True):
         want = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(own.packed(text.encode()), "<u4").tolist() == want, repr(text)
-        assert own.packed(text.encode(), span=7) == own.packed(text.encode())
+        assert np.frombuffer(got, own.kind).tolist() == want, repr(text)
+    own.known.clear()
+    assert own.packed([t.encode() for t in texts], span=7) == packed
 
 
 @pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 4095, 4096, 4097, 30_000])
@@ -76,12 +79,13 @@ def test_query(spark):
 def test_small_parts_nulls_and_repeats(spark, tmp_path):
     rows = [(i * 7 % 40, f"word {i} " * (i % 5)) for i in range(40)] + [(3, "again"), (None, "lone"), (50, None)]
     df = spark.createDataFrame([(i, t, "x", "x", "x") for i, t in rows], "doc_id long, text string, ids string, part string, start string")
-    folder = token_files.write_tokens(token_files.token_ids(df, default_path()), str(tmp_path / "f"), part=50, frame=16)
+    kind = tokenizer(default_path()).kind
+    folder = token_files.write_tokens(token_files.token_ids(df, default_path()), str(tmp_path / "f"), kind, part=50, frame=16)
     got = token_files.read_tokens(spark, folder).collect()
     assert len(got) == len(rows)
     got.sort(key=lambda r: r.start)
     assert [r.start for r in got] == [0, *np.cumsum([len(r.ids) // 4 for r in got])[:-1]]
     keys = [-1 if r.doc_id is None else r.doc_id for r in got]
     assert keys == sorted(keys)
-    empty = token_files.write_tokens(token_files.token_ids(df.limit(0), default_path()), str(tmp_path / "e"))
+    empty = token_files.write_tokens(token_files.token_ids(df.limit(0), default_path()), str(tmp_path / "e"), kind)
     assert token_files.read_tokens(spark, empty).count() == 0
