@@ -149,6 +149,8 @@ def exact_groups(docs: DataFrame, **options) -> DataFrame:
         F.max_by("row", F.coalesce(F.col("doc_id"), F.lit(LOWEST))).alias("keep_row"),
         F.count("*").alias("group_size"),
     )
+    # As a table, so that adaptive execution can split the join's rows of a large group.
+    groups = written(groups, "groups")
     return named.join(groups, ["level", "name"]).select(
         "doc_id",
         "keep_id",
