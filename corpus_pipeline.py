@@ -40,8 +40,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences in buckets and batches, as ``packing.packed`` describes."""
-    return packing.packed(docs, default_path())
+    """Sequences with their ids in buckets and batches, as ``packing.packed`` describes."""
+    return packing.packed(docs, default_path(), with_ids=True)
 
 
 STAGES = [

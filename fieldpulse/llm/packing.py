@@ -154,4 +154,4 @@ def packed(
 
 
 def op7_length_buckets(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), path or default_path())
+    return packed(table(spark, sf_dir, "documents"), path or default_path(), with_ids=True)

@@ -75,6 +75,19 @@ def test_query(spark):
     check(rows, [(d.doc_id, d.text) for d in docs], packing.LONGEST, packing.BUDGET)
 
 
+def test_query_rows_hold_the_ids(spark):
+    library = Tokenizer.from_file(default_path())
+    texts = {d.doc_id: d.text or "" for d in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = QUERIES["op7_length_buckets"](spark, SMALL).orderBy("doc_id", "start").collect()
+    got = {}
+    for r in rows:
+        assert len(r.ids) == 2 * r.n_tokens
+        got[r.doc_id] = got.get(r.doc_id, b"") + r.ids
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        assert np.frombuffer(got[i], np.uint16).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_small_budget_nulls_repeats_and_empty(spark):
     texts = [(i, "word " * (i * i % 23)) for i in range(60)] + [(1, "again"), (1, "again"), (None, "lone word"), (7, None), (8, "x " * 5000)]
     df = spark.createDataFrame([(i, t, 1, 2, "z") for i, t in texts], "doc_id long, text string, chunk int, batch int, ids string")

@@ -3,10 +3,13 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline as cp
+import numpy as np
 from test_near_dedup import brute_components
+from tokenizers import Tokenizer
 
 from fieldpulse.llm import quality
 from fieldpulse.llm.tables import table
+from fieldpulse.llm.word_tokens import default_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -49,6 +52,21 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in final.collect()} == low
 
 
+def test_result_decodes_to_the_pseudonymised_texts(spark, monkeypatch):
+    stages, write = {}, cp.written
+    monkeypatch.setattr(cp, "written", lambda df, name: stages.setdefault(name, write(df, name)))
+    final = cp.run(spark, SMALL).orderBy("doc_id", "start").collect()
+    texts = {r.doc_id: r.text or "" for r in stages["stage-pseudonyms"].collect()}
+    library, got = Tokenizer.from_file(default_path()), {}
+    for r in final:
+        assert len(r.ids) == 2 * r.n_tokens
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, np.uint16).tolist())
+    assert got.keys() == texts.keys() and any(texts.values())
+    for i, text in texts.items():
+        own = library.encode(text, add_special_tokens=False).ids
+        assert got[i] == own
+
+
 def test_empty_table(spark):
     docs = table(spark, SMALL, "documents").limit(0)
     for _, stage in cp.STAGES[:-1]:
