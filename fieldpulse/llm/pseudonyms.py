@@ -6,7 +6,15 @@ number, a date a date. Equal values get equal pseudonyms in all documents, diffe
 format different ones, none keeps its value, and whoever has the key can go back.
 
 Covered: e-mail addresses, payment cards, IBANs, telephone and US social security numbers, IPv4
-addresses, dates from 1900 to 2099, and keys or passwords that are assigned in the text.
+addresses, dates from 1900 to 2099, keys of a known form (AKIA, gh?_, sk-), and the values that
+``:`` or ``=`` assigns to a name ending in password, passwd, pwd, token, secret, api key or access
+key. Such a value goes up to its closing quote on the line, or to white space; its ASCII letters
+and digits are moved, all other characters stay in place.
+
+Not covered: values without a name, after another name, on another line or more than three blanks
+away; what follows white space in an unquoted value; letters outside ASCII; an unquoted word of
+fewer than six lower-case letters; after ``:`` and a name other than a password's, an unquoted
+plain word of letters ("the secret: everything").
 """
 
 from __future__ import annotations
@@ -28,6 +36,7 @@ PIECE = 1 << 21
 KEY_SETTING = "spark.fieldpulse.pseudonym.key"
 DIGITS = "0123456789"
 HEX = "0123456789abcdef"
+LONG = 128
 
 _LEFT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?$")
 _RIGHT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
@@ -38,8 +47,15 @@ _DATE = re.compile(r"(?<!\d)(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _NANP = re.compile(r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)")
 _PHONE = re.compile(r"(?<![\w+])\+\d{1,15}(?:[ .-]\d{1,14}|[ .-]?\(\d{1,5}\)){0,6}(?!\d)")
-_NAMED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,3}$")
-_VALUE = re.compile(r"[ \t]{0,3}[\"']?([A-Za-z0-9+/_.~-]{7,}[A-Za-z0-9+/_~-])")
+_NAMED = re.compile(r"(?i)(?:(password|passwd|pwd)|token|secret|api[_-]?key|access[_-]?key)(?:\\?[\"'])?[ \t]{0,3}\Z")
+_SIGN = re.compile(r":=|=>|={1,3}|:")
+_QUOTED = re.compile(
+    r"""[ \t]{0,3}(?:"((?:[^"\\\r\n]|\\[^\r\n])*)"|'((?:[^'\\\r\n]|\\[^\r\n])*)'|\\"((?:(?!\\")[^\r\n])*)\\"|\\'((?:(?!\\')[^\r\n])*)\\')"""
+)
+_OPEN = re.compile(r"[ \t]{0,3}(\S+)")
+_WORD = re.compile(r"[A-Za-z]+(?:['’-][A-Za-z]+)*")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
+_SHORT = 6
 _BARE_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])")
 
 
@@ -158,17 +174,53 @@ class Pseudonyms:
         return self._refilled(text, digits[:lead] + self._moved(f"phone|{digits[:lead]}", mixed, digits[lead:]))
 
     def _secret(self, text: str) -> str | None:
-        if any(c not in HEX for c in text) or text.isdigit():
-            return self._shaped("secret", text)
+        if len(text) > LONG:  # a piece of its own context each, so that time follows the length
+            return "".join(self._secret(text[i : i + LONG]) for i in range(0, len(text), LONG))
+        if not _ALNUM.search(text):
+            return text
+        if not _is_hex(text):
+            new = self._shaped("secret", text)
+            while _is_hex(new):  # walks on, so that the way back takes the same rule
+                new = self._shaped("secret", new)
+            return new
         mixed, new = Mixed([HEX] * len(text)), text
-        while new == text or new.isdigit():  # walks on within the values that have a letter
+        while new == text or not _is_hex(new):  # walks on within the values of letters and digits
             new = self._moved("hex", mixed, new)
         return new
 
     # ---- texts
 
+    @staticmethod
+    def _assigned(text: str):
+        """(start, end) of the values assigned to names of secrets, from first to last letter or digit."""
+        at = last = 0
+        while sign := _SIGN.search(text, at):
+            at = sign.end()
+            named = _NAMED.search(text, max(last, sign.start() - 24), sign.start())
+            if not named:
+                continue
+            quoted = _QUOTED.match(text, at)
+            found = quoted or _OPEN.match(text, at)
+            if not found:
+                continue
+            start, end = found.span(found.lastindex)
+            bare = not quoted and text[start] not in "\"'\\"
+            while start < end and not _ALNUM.match(text[start]):
+                start += 1
+            while start < end and not _ALNUM.match(text[end - 1]):
+                end -= 1
+            if start == end:
+                continue
+            if bare and _WORD.fullmatch(text, start, end):
+                if not (named[1] or "=" in sign[0]) or (end - start < _SHORT and text[start:end].islower()):
+                    continue
+            yield start, end
+            at = last = end
+
     def _found(self, text: str):
-        """(start, end, kind), the more specific kinds first."""
+        """(start, end, kind), the more specific kinds first; an assigned secret is taken whole."""
+        for start, end in self._assigned(text):
+            yield start, end, "secret"
         at = text.find("@")
         while at >= 0:
             left, right = _LEFT.search(text, max(0, at - 64), at), _RIGHT.match(text, at + 1)
@@ -181,14 +233,6 @@ class Pseudonyms:
         ):
             for m in pattern.finditer(text):
                 yield m.start(), m.end(), kind
-        for sign in "=:":
-            at = text.find(sign)
-            while at >= 0:
-                if _NAMED.search(text, max(0, at - 24), at) and (m := _VALUE.match(text, at + 1)):
-                    if any(c in DIGITS for c in m[1]):
-                        yield m.start(1), m.end(1), "secret"
-                at = text.find(sign, at + 1)
-
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with pseudonyms, and the (start, end, kind) of what was replaced."""
         taken: list[tuple[int, int, str, str]] = []
@@ -214,6 +258,10 @@ class Pseudonyms:
         return "".join([*out, text[last:]]), spans
 
 
+def _is_hex(text: str) -> bool:
+    return len(text) >= 8 and all(c in HEX for c in text) and not text.isdigit() and not text.isalpha()
+
+
 def len_name(alphabet_: str) -> str:
     return "9" if len(alphabet_) == 10 else alphabet_[0]
 

@@ -66,6 +66,32 @@ def test_neighbours_and_invalid_values():
         assert own.replace(t) == (t, []), t
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("password=P@ssw0rd!2024 next", "P@ssw0rd!2024"), ("password=Tr0ub4dor&3, next", "Tr0ub4dor&3"), ("pwd: hunterhunter", "hunterhunter"),
+        ("passwd=abc1234", "abc1234"), ("pwd = hunters.", "hunters"), ("password: x1", "x1"), ("token='two words' next", "two words"),
+        ('{"password": "a\\"b c9", "user": "bob"}', 'a\\"b c9'), ('"{\\"secret\\": \\"p q\\"}"', "p q"), ("api_key=abc,def", "abc,def"),
+        ("password := Q#w", "Q#w"), ("token: ab$cd", "ab$cd"), ("password=me@mail.com!1", "me@mail.com!1"), ("pwd=x2020-01-02y", "x2020-01-02y"),
+        ('secret="it', "it"), ('secret="a\\" b7" x', 'a\\" b7'), ("password=decade", "decade"), ("access-key=a1", "a1"), ("pwd=4111111111111111x", "4111111111111111x"), ("token=secret =x1", "secret"), ("password=" + "aB3$" * 400, "aB3$" * 399 + "aB3"),
+    ],
+)
+def test_whole_secrets(text, value):
+    new, spans = Pseudonyms(b"key").replace(text)
+    assert [(text[a:b], kind) for a, b, kind in spans] == [(value, "secret")]
+    at = text.index(value)
+    moved = new[at : at + len(value)]
+    assert new == text[:at] + moved + text[at + len(value) :] and moved != value
+    assert all(a == b for a, b in zip(value, moved, strict=True) if not a.isalnum())
+    assert Pseudonyms(b"key", -1).replace(new)[0] == text
+
+
+def test_many_assignments_take_linear_time():
+    for text in ("token:" * 5_000, "pwd=" * 5_000, "secret='" * 5_000, "password=\\\"" * 5_000):
+        new, _ = Pseudonyms(b"key").replace(text)
+        assert len(new) == len(text)
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = QUERIES["op2_feistel_pseudonyms"](spark, FOLDER).collect()
