@@ -1662,6 +1662,16 @@ def _(v: Views) -> DataFrame:
     return jobs.drain(v.spark, jobs.stream_rollup(stream, "15 minutes"), "stream-rollup")
 
 
+@query("stream_rollup_completed", sql(rollup_sql("15 minutes"), "readings"))
+def _(v: Views) -> DataFrame:
+    """All buckets: those of the stream, and by the batch refresh the held-back and late ones."""
+    stream = readings_of(v.stream_events())
+    done = jobs.drain(v.spark, jobs.stream_rollup(stream, "15 minutes"), "stream-rollup")
+    path = scratch_dir(v.spark, "stream-rollup-completed")
+    jobs.complete_rollup(v.spark, v.readings, done, path, "15 minutes")
+    return v.spark.read.parquet(path).drop("date")
+
+
 @query("stream_detect", DETECT_SQL)
 def _(v: Views) -> DataFrame:
     stream = readings_of(v.stream_events()).drop("event_id", "event_type")

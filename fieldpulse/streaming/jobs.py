@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldpulse.functions.times import seconds_of
 from fieldpulse.operators.alerts import correlate, with_lifecycle
-from fieldpulse.operators.rollup import compact_latest, rollup
+from fieldpulse.operators.rollup import (
+    SERIES,
+    compact_latest,
+    refresh_rollup_table,
+    rollup,
+    write_rollup,
+)
 from fieldpulse.plans.flow import Dimensions, FlowConfig, stateless_stages
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources.readers import explode_batch, read_readings
@@ -41,6 +49,36 @@ def stream_rollup(
     return rollup(stream.withWatermark(ts, lateness), width, ts)
 
 
+def complete_rollup(
+    spark: SparkSession,
+    facts: DataFrame,
+    streamed: DataFrame,
+    path: str,
+    width: str = "1 minute",
+    ts: str = "time",
+    by: Sequence[str] = SERIES,
+) -> int:
+    """Store a stream's rollup at ``path`` and fill in what its watermark held back or dropped.
+
+    Buckets whose number of readings differs from the facts' bound the range that is refreshed.
+    Gives the number of readings that the stream's buckets lacked.
+    """
+    own = rollup(facts, width, ts, by).select("bucket", *by, F.col("reading_count").alias("n"))
+    seen = streamed.select("bucket", *by, (-F.col("reading_count")).alias("n"))
+    lacking = own.unionByName(seen).groupBy("bucket", *by).agg(F.sum("n").alias("n")).filter("n <> 0")
+    second = F.unix_seconds("bucket")
+    found = lacking.agg(F.min(second).alias("low"), F.max(second).alias("high"), F.sum("n").alias("n")).first()
+    if found.low is None or not streamed.isEmpty():
+        write_rollup(streamed, path)
+    if found.low is None:
+        return 0
+    end = found.high + seconds_of(width)
+    policy = (width, f"{end - found.low} seconds", "0 seconds", width)
+    as_of = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=end)
+    refresh_rollup_table(spark, facts, path, policy, as_of, ts, by)
+    return found.n
+
+
 def aggregate_stream(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """One-minute aggregates as keyed records for the aggregation topic."""
     return to_keyed_records(

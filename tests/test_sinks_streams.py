@@ -173,6 +173,32 @@ def test_stream_rollup_equals_batch_for_closed_buckets(spark, tmp_path):
     assert got.select(expected.columns).exceptAll(expected).count() == 0
 
 
+def test_refresh_completes_a_stream_rollup(spark, tmp_path):
+    """A late reading and the buckets that the watermark holds back are filled in."""
+    source = str(tmp_path / "in")
+    rows, _ = landed(spark, source, stream_rows())
+    late = readings(spark, [("A", 30.0, 99.0), ("B", -7200.0, 5.0)])
+    late.coalesce(1).write.mode("append").parquet(source)
+    for i, name in enumerate(sorted((f for f in os.listdir(source) if f.endswith(".parquet")), key=lambda f: os.path.getmtime(f"{source}/{f}"))):
+        os.utime(f"{source}/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    got = jobs.drain(spark, jobs.stream_rollup(stream, "1 minute", "10 minutes"), "t-complete")
+    facts, path = rows.unionByName(late), str(tmp_path / "out")
+    expected = rollup(facts, "1 minute")
+    n = got.agg(F.sum("reading_count")).first()[0]
+    assert n < facts.count() - late.count()
+    assert jobs.complete_rollup(spark, facts, got, path) == facts.count() - n
+    full = spark.read.parquet(path).select(expected.columns)
+    assert full.count() == expected.count() > got.count()
+    assert full.select("bucket", "sensor_id", "reading_count", "max_value").exceptAll(
+        expected.select("bucket", "sensor_id", "reading_count", "max_value")
+    ).isEmpty()
+    none = str(tmp_path / "none")
+    assert jobs.complete_rollup(spark, facts, expected, none) == 0
+    assert spark.read.parquet(none).count() == expected.count()
+    assert jobs.complete_rollup(spark, facts, expected.limit(0), str(tmp_path / "all")) == facts.count()
+
+
 def test_stream_aggregates_and_correlation(spark, tmp_path):
     df, stream = landed(spark, str(tmp_path / "in"), stream_rows())
     records = jobs.drain(spark, jobs.aggregate_stream(stream, "5 minutes"), "t-agg")
