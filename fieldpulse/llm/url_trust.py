@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from fieldpulse.llm.tables import table, written
 
 DAMPING = 0.85
-ROUNDS = 20
+ROUNDS = 20  # of the SQL
+MOST_ROUNDS = 2000  # far more than any graph takes: the change falls by the damping each round
 LIMIT = 0.5
 CLOSE = 1e-12
 
@@ -79,8 +80,11 @@ def host_links(pages: DataFrame, html: str = "html") -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after at most ``rounds`` rounds; 1 stands for a full seed alone.
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = MOST_ROUNDS) -> DataFrame:
+    """(host, trust, distrust) at their fixed point; 1 stands for a full seed alone.
+
+    Ends when no value changes by more than ``CLOSE``, relative to it where it is above 1; an error
+    if ``rounds`` rounds do not get there.
 
     ``seeds``: host, allowed, blocked (shares from 0 to 1). Hosts that are only linked to start
     with no seed.
@@ -104,7 +108,7 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     seeds = written(seeds, "seeds")
     state = seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
     if edges.isEmpty():
-        rounds = 0
+        return state
     for _ in range(rounds):
         sent = (
             edges.join(state, edges.src == state.host)
@@ -129,11 +133,12 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
             )
         )
         new = written(new, "trust")
-        moved = new.agg(F.max(F.greatest(F.abs(F.expr("trust - was_t")), F.abs(F.expr("distrust - was_d"))))).first()[0]
+        change = F.expr("greatest(abs(trust - was_t) / greatest(trust, 1), abs(distrust - was_d) / greatest(distrust, 1))")
+        moved = new.agg(F.max(change)).first()[0]
         state = new.select("host", "trust", "distrust")
         if moved is None or moved <= CLOSE:
-            break
-    return state
+            return state
+    raise RuntimeError(f"trust still moves by {moved} after {rounds} rounds")
 
 
 def judged(
@@ -142,7 +147,7 @@ def judged(
     url: str = "url",
     html: str = "html",
     limit: float = LIMIT,
-    rounds: int = ROUNDS,
+    rounds: int = MOST_ROUNDS,
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict, trust and distrust of the host.
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import duckdb
+import pytest
 
 from fieldpulse.llm import url_trust as ut
 
@@ -78,5 +79,16 @@ def test_matches_brute_force_and_sql(spark):
     assert sorted(con.execute(ut._sql(RULES)).fetchall(), key=repr) == got
 
 
+def test_cycles_reach_the_fixed_point(spark):
+    seeds = spark.createDataFrame([("a", 0.5, 0.25), ("b", 0.0, 0.0)], "host string, allowed double, blocked double")
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 3)], "src string, dst string, links long")
+    got = {r.host: r for r in ut.spread(seeds, links, damping=0.4).collect()}
+    for kind, seed in (("trust", 0.5), ("distrust", 0.25)):
+        assert got["a"][kind] == pytest.approx(seed / 0.84, abs=1e-11)
+        assert got["b"][kind] == pytest.approx(seed * 0.4 / 0.84, abs=1e-11)
+    with pytest.raises(RuntimeError):
+        ut.spread(seeds, links, rounds=3)
+
+
 def test_empty_table(spark):
     assert ut.judged(spark.createDataFrame([], SCHEMA)).count() == 0
