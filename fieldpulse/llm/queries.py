@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, exact_topk, language, merkle, near_dedup, packing, pseudonyms, quality, sentence_pieces, token_files, url_trust
+from fieldpulse.llm import exact_dedup, exact_topk, grid_join, language, merkle, near_dedup, packing, pseudonyms, quality, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op12_grid_near_dedup": grid_join.op12_grid_near_dedup,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
     "op7_length_buckets": packing.op7_length_buckets,
     "op2_feistel_pseudonyms": pseudonyms.op2_feistel_pseudonyms,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op12_grid_near_dedup": grid_join.SQL,
     "op13_merkle_manifest": merkle.SQL,
     "op6_norm_sorted_topk": exact_topk.SQL,
     "op8_url_trust": url_trust.SQL,

@@ -49,3 +49,17 @@ def pieces(batches, most_bytes: int, column: str = "text") -> Iterator[pa.Record
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+
+
+def matched(rows: DataFrame, classes: DataFrame, key: str, times: str, most: int = 4096) -> DataFrame:
+    """``rows`` joined with ``classes`` on ``key``, where ``times`` tells how many rows a class has.
+
+    Classes with more than one in ``most`` of all rows are fewer than ``most``, so they are sent to
+    all tasks; the others are joined by a shuffle, and no task gets a popular key's rows.
+    """
+    total = classes.agg(F.sum(times)).first()[0] or 0
+    hot = classes.where(F.col(times) * most > total)
+    marks = F.broadcast(hot.select(key))
+    cold = classes.join(marks, key, "left_anti")
+    popular = rows.join(F.broadcast(hot), key)
+    return popular.unionByName(rows.join(marks, key, "left_anti").join(cold, key))
