@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpulse.llm import exact_dedup, exact_topk, grid_join, language, merkle, near_dedup, packing, pseudonyms, quality, sentence_pieces, token_files, url_trust
+from fieldpulse.llm import alignment, exact_dedup, exact_topk, grid_join, language, merkle, near_dedup, packing, pseudonyms, quality, sentence_pieces, token_files, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op11_token_alignment": alignment.op11_token_alignment,
     "op12_grid_near_dedup": grid_join.op12_grid_near_dedup,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
     "op7_length_buckets": packing.op7_length_buckets,
