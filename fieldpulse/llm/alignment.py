@@ -95,6 +95,7 @@ class Units:
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        import sentencepiece
         from tokenizers import Tokenizer
 
         self.bytewise = Tokenizer.from_file(byte_path)
@@ -115,8 +116,9 @@ class Aligner:
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
         # A line feed only cuts where no piece and no run of the other tokenizer holds one inside.
         feed = not any("\n" in t for t, k in zip(own.texts, own.kinds, strict=True) if k != BYTE)
-        cuts = " \\n" if feed else " "
-        self.unit = re.compile(f"(?s).(?:[^{cuts}]+|(?<=\\s)[{cuts}])*")
+        self.cuts = " \n" if feed else " "
+        self.unit = re.compile(f"(?s).(?:[^{self.cuts}]+|(?<=\\s)[{self.cuts}])*")
+        self.library = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.units = Units()
 
     def learn(self, names: list[str]) -> None:
@@ -130,27 +132,60 @@ class Aligner:
         if start < len(names):
             self._learn(names[start:])
 
-    def _learn(self, names: list[str]) -> None:
-        a_ids = [np.array(e.ids, np.int64) for e in self.bytewise.encode_batch(names, add_special_tokens=False)]
+    def _in_a_row(self, names: list[str]) -> tuple | None:
+        """(ids of A, ids of B, tokens of A and B by unit) of units that follow each other in one
+        text, or None where the units' edges are not the tokens'."""
+        whole = "".join(names)
+        given = whole.encode()
+        edges = np.cumsum([len(n.encode()) for n in names])
+        found = []
+        a = self.bytewise.encode(whole, add_special_tokens=False).ids
+        for ids, known, sizes in (
+            (a, self.a_bytes, self.a_sizes),
+            (self.library.encode(whole[1:]), self.b_bytes, self.b_sizes),
+        ):
+            if b"".join(map(known.__getitem__, ids)) != given:
+                return None
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(sizes[ids])
+            last = np.searchsorted(ends, edges)
+            if (ends[last] != edges).any():
+                return None
+            found.append((ids, np.diff(last, prepend=-1)))
+        (a, n_a), (b, n_b) = found
+        return a, b, n_a, n_b, np.ones(len(names), bool)
+
+    def _one_by_one(self, names: list[str]) -> tuple:
+        a_ids = [e.ids for e in self.bytewise.encode_batch(names, add_special_tokens=False)]
         merged, space = self.pieces._merged, self.pieces.space
         b_ids = [
-            np.frombuffer(b"".join(map(merged, self.pieces.units.findall(n.replace(" ", space)))), np.int32).astype(np.int64)
+            np.frombuffer(b"".join(map(merged, self.pieces.units.findall(n.replace(" ", space)))), np.int32).tolist()
             for n in names
         ]
-        given = [n.encode() for n in names]
-        fits = np.array(
-            [
-                b"".join(map(self.a_bytes.__getitem__, a.tolist())) == g
-                and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == g
-                for a, b, g in zip(a_ids, b_ids, given, strict=True)
-            ],
-            bool,
-        )
-        none = np.empty(0, np.int64)
-        a_ids = [a if f else none for a, f in zip(a_ids, fits, strict=True)]
-        b_ids = [b if f else none for b, f in zip(b_ids, fits, strict=True)]
+        fits = np.ones(len(names), bool)
+        for i, name in enumerate(names):
+            given = name.encode()
+            for ids, known in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
+                fits[i] &= b"".join(map(known.__getitem__, ids[i])) == given
+            if not fits[i]:
+                a_ids[i] = b_ids[i] = []
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.concatenate([none, *ids]) for ids in (a_ids, b_ids))
+        a, b = (np.array([x for own in ids for x in own], np.int64) for ids in (a_ids, b_ids))
+        return a, b, n_a, n_b, fits
+
+    def _learn(self, names: list[str]) -> None:
+        """Units that may stand in a row are encoded as one text."""
+        space = self.pieces.space
+        row = [n for n in names if n[0] in self.cuts and not n[-1].isspace() and space not in n]
+        if row and (row[0][0] == " " or (row := sorted(row, key=lambda n: n[0] != " "))[0][0] == " "):
+            done = self._in_a_row(row)
+            if done:
+                self._multiply(row, *done)
+                names = sorted(set(names) - set(row))
+        if names:
+            self._multiply(names, *self._one_by_one(names))
+
+    def _multiply(self, names: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, fits: np.ndarray) -> None:
         owner = np.repeat(np.arange(len(names)), n_a)
         # Tokens by bytes; the units' bytes follow each other.
         in_a, in_b = Csr.tiles(self.a_sizes[a]), Csr.tiles(self.b_sizes[b])
