@@ -41,8 +41,8 @@ from fieldpulse.llm.csr import Csr
 from fieldpulse.llm.sentence_pieces import BYTE, PieceModel, model
 from fieldpulse.llm.tables import matched, pieces, table, written
 
-CHUNK = 1 << 22
-KEPT_UNITS, KEPT_BYTES = 400_000, 1 << 25
+CHUNK = 1 << 21
+KEPT_UNITS, KEPT_BYTES = 300_000, 1 << 24
 TOGETHER = 1 << 18
 
 _DOCUMENTS = "doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, n_shared array<long>, digests array<string>"
@@ -261,12 +261,22 @@ class Aligner:
         return {
             "n_a": total[:, 0], "n_b": total[:, 1], "n_groups": total[:, 2], "n_links": n_links,
             "n_shared": total[:, 3], "digests": digests, "sizes": sizes.astype(np.int32),
-            "units": units.astype("<u4").tobytes(), "starts": matrix.starts.astype("<u4").tobytes(),
-            "columns": columns.astype("<u4").tobytes(), "amounts": matrix.values.astype("<u4").tobytes(),
+            "units": _narrow(units), "starts": _narrow(np.diff(matrix.starts)),
+            "columns": _narrow(columns), "amounts": _narrow(matrix.values),
             "a": (pairs >> 32).astype(np.int32), "b": (pairs & 0xFFFFFFFF).astype(np.int32), "times": times,
         }
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the largest needs, after their size."""
+    size = next(s for s in (1, 2, 4, 8) if values.max(initial=0) < 1 << 8 * s)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
 def _sums(rows: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of the rows between the edges."""
     running = np.concatenate((np.zeros((1, rows.shape[1]), np.int64), np.cumsum(rows, axis=0)))
@@ -326,15 +336,17 @@ def _scored(batches):
             row = {k: batch.column(k)[i] for k in batch.schema.names}
             ids = row["doc_ids"].values
             array = lambda k, row=row: row[k].values.to_numpy(zero_copy_only=False)
-            packed = lambda k, row=row: np.frombuffer(row[k].as_py(), "<u4").astype(np.int64)
+            packed = lambda k, row=row: _wide(row[k].as_py())
             sizes = array("sizes").astype(np.int64)
             edges = np.concatenate(([0], np.cumsum(sizes)))
-            counts = np.zeros((len(array("a")), 2), np.int64)
-            if row["found"].is_valid:
+            counts = np.zeros((0, 2), np.int64)
+            if row["found"].is_valid:  # a chunk without tokens has no pairs
                 found = row["found"].values
+                counts = np.zeros((len(found), 2), np.int64)
                 place, count, best = (found.field(k).to_numpy(zero_copy_only=False) for k in ("place", "count", "best"))
                 counts[place] = np.stack([count, best.astype(np.int64)], axis=1)
-            matrix = Csr(packed("starts"), packed("columns"), packed("amounts"), len(counts))
+            starts = np.concatenate(([0], np.cumsum(packed("starts"))))
+            matrix = Csr(starts, packed("columns"), packed("amounts"), len(counts))
             # Unit by unit, whole numbers: running sums over the entries of the matrix.
             by_unit = _sums(matrix.values[:, None] * counts[matrix.columns], matrix.starts)
             total = _sums(by_unit[packed("units")], edges)
@@ -382,7 +394,7 @@ def aligned(
     asked = asked.select("chunk", "place", F.struct(F.col("pair.a").alias("a"), F.col("pair.b").alias("b")).alias("pair"))
     told = matched(asked, counts, "pair", "chunks").groupBy("chunk")
     told = told.agg(F.collect_list(F.struct("place", "count", "best")).alias("found"))  # a chunk's pairs
-    rows = chunked.drop("times", "b").join(told, "chunk", "left")
+    rows = chunked.drop("a", "b", "times").join(told, "chunk", "left")
     return rows.mapInArrow(_scored, _RESULT)
 
 

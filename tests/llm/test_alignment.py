@@ -99,7 +99,7 @@ def run(spark, rows, **options):
 def test_rows_out_of_the_ordinary(spark):
     texts = [None, "", " ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n\nb", "tab\tand \x1c \x85   　x", "\r\n;\r\n x",
              "don't we'll 12 345", "▁", "x ▁ y", "naïve Straße 東京タワー \U0001f600", "<|endoftext|> <s></s><unk> <0x0A>",
-             "é ​ ﻿", "\0 \x01", "!" * 300, "aaaa" * 2000, "word " * 30000, "  lead", "a\n b\n  c \n"]
+             "é ​ ﻿", "\0 \x01", "!" * 300, "aaaa" * 500, "word " * 20000, "  lead", "a\n b\n  c \n"]
     rows = [*enumerate(texts), (None, "a b"), (3, "a b"), (3, "a b"), (3, "a b")]
     want = PLAIN.run(rows)
     assert run(spark, rows) == want
