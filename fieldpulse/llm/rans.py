@@ -2,7 +2,9 @@
 
 Tokens are cut into blocks of ``BLOCK``. Each block is coded by ``LANES`` interleaved coders
 that share one stream of 32-bit words and one frequency table, and starts from states of its
-own, so all blocks of a frame run side by side and any of them can be decoded alone.
+own, so all blocks of a frame run side by side and any of them can be decoded alone. The last
+block is filled up with the most frequent token, which costs next to nothing and is dropped by the
+reader, so that all blocks have the same number of steps.
 
 A frame is: magic, crc32 of the frequency table, number of tokens, number of blocks; then a
 checkpoint for each block (tokens before it, words before it, its words, crc32 of its words and
@@ -58,26 +60,26 @@ def encode(tokens: np.ndarray, table: Frequencies) -> bytes:
     head = np.array([(MAGIC, table.crc, n, blocks)], HEAD)
     if not n:
         return head.tobytes()
-    padded = np.zeros(blocks * BLOCK, np.int64)
+    padded = np.full(blocks * BLOCK, int(table.slots.argmax()), np.int64)
     padded[:n] = tokens
-    live = (np.arange(blocks * BLOCK) < n).reshape(blocks, STEPS, LANES)
-    grid = padded.reshape(blocks, STEPS, LANES)
+    # Step by step, and in each step all lanes of all blocks side by side.
+    grid = np.ascontiguousarray(padded.reshape(blocks, STEPS, LANES).transpose(1, 0, 2)).reshape(STEPS, -1)
     slots, starts = table.slots[grid], table.starts[grid]
-    if not slots[live].all():
+    if not slots.all():
         raise ValueError("an id that the frequency table does not know")
-    slots[~live] = 1
-    state = np.full((blocks, LANES), LOW, np.uint64)
+    state = np.full(blocks * LANES, LOW, np.uint64)
     sent = np.zeros(grid.shape, bool)
     words = np.zeros(grid.shape, np.uint32)
+    limits = slots << np.uint64(63 - SCALE)
     for step in range(STEPS - 1, -1, -1):
-        f, on = slots[:, step], live[:, step]
-        full = on & (state >= (f << np.uint64(63 - SCALE)))
-        sent[:, step] = full
-        words[:, step] = np.where(full, state & np.uint64(0xFFFFFFFF), 0)
+        f, full = slots[step], sent[step]
+        np.greater_equal(state, limits[step], out=full)
+        words[step] = state  # its low half
         state = np.where(full, state >> np.uint64(32), state)
         high = state // f
-        coded = (high << np.uint64(SCALE)) + (state - high * f) + starts[:, step]
-        state = np.where(on, coded, state)
+        state += starts[step] + high * ((1 << SCALE) - f)
+    sent, words = (x.reshape(STEPS, blocks, LANES).transpose(1, 0, 2) for x in (sent, words))
+    state = state.reshape(blocks, LANES)
     sizes = sent.reshape(blocks, -1).sum(axis=1)
     stream = words[sent].astype("<u4")
     points = np.zeros(blocks, CHECKPOINT)
@@ -115,24 +117,19 @@ def decode(frame: bytes, table: Frequencies, first: int = 0, last: int | None =
         own = stream[int(p["word"]) : int(p["word"]) + int(p["words"])]
         if zlib.crc32(own.tobytes(), zlib.crc32(s.tobytes())) != p["crc"]:
             raise Damaged(f"block at token {p['token']}")
-    stream = np.append(stream, np.uint32(0)).astype(np.uint64)
+    stream = stream.astype(np.uint64)
     state = states.astype(np.uint64)
     place = points["word"].astype(np.int64)
-    count = np.minimum(n - points["token"].astype(np.int64), BLOCK)
-    out = np.zeros((len(points), STEPS, LANES), np.uint32)
-    lane = np.arange(LANES)
+    out = np.zeros((STEPS, len(points), LANES), np.uint32)
     mask = np.uint64((1 << SCALE) - 1)
-    for step in range(-(-int(count.max()) // LANES)):
-        on = step * LANES + lane[None, :] < count[:, None]
+    for step in range(STEPS):
         slot = state & mask
-        token = table.owner[slot]
-        out[:, step] = token
-        fresh = table.slots[token] * (state >> np.uint64(SCALE)) + slot - table.starts[token]
-        state = np.where(on, fresh, state)
-        low = on & (state < LOW)
+        token = out[step] = table.owner[slot]
+        state = table.slots[token] * (state >> np.uint64(SCALE)) + slot - table.starts[token]
+        low = state < LOW
         taken = np.cumsum(low, axis=1)
-        word = stream[np.where(low, place[:, None] + taken - 1, -1)]
-        state = np.where(low, (state << np.uint64(32)) | word, state)
+        word = stream[(place[:, None] + taken)[low] - 1]
+        state[low] = (state[low] << np.uint64(32)) | word
         place = place + taken[:, -1]
-    flat = out.reshape(len(points), -1)
-    return np.concatenate([row[:c] for row, c in zip(flat, count, strict=True)])
+    flat = out.transpose(1, 0, 2).reshape(-1)
+    return flat[: n - first * BLOCK]

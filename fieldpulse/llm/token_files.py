@@ -27,7 +27,7 @@ from fieldpulse.session import scratch_dir
 
 KIND = np.dtype("<u4")
 PART = 1 << 24
-FRAME = 1 << 18
+FRAME = 1 << 20
 SENT_PARTS = 100_000
 PIECE = 1 << 21
 

@@ -9,11 +9,14 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
+from itertools import compress
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_KEPT = 1_200_000  # words in memory, about 150 bytes each
+_KEPT = 700_000  # words in memory, about 150 bytes each, and as many from before
 _TOGETHER = 300
 _MARKS = b".,;:!?"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
@@ -29,13 +32,19 @@ def _visible_bytes() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids by word; words that it lacks are noted and answered by None."""
+    """Ids by word, and those known before; words that both lack are noted and answered by None."""
 
-    def __init__(self):
+    def __init__(self, before: dict | None = None):
+        self.before = dict(before or ())
         self.lacking: set[bytes] = set()
 
-    def __missing__(self, word: bytes) -> None:
-        self.lacking.add(word)
+    def __missing__(self, word: bytes) -> bytes | None:
+        ids = self.before.get(word)
+        if ids is None:
+            self.lacking.add(word)
+        else:
+            self[word] = ids
+        return ids
 
 
 class WordTokenizer:
@@ -53,7 +62,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = _Known()
+        self.known = _Known({b"": b""})
         self.folds = self._ids(b"AbC") == self._ids(b"abc")
         self.code = "H" if self.kind.itemsize == 2 else "I"  # as little-endian machines store them
         self.model = self.tokenizer.model
@@ -82,33 +91,35 @@ class WordTokenizer:
             return word.islower()
         return max(word) < "\u0250" and word == word.lower() and is_normalized("NFC", word)
 
-    def _core(self, word: bytes) -> bytes:
-        if self.splits and len(word) > 1 and word[-1] in self.marks and word[-2] in _ALNUM:
-            return word[:-1]
-        return word
-
     def _learn(self, words: set[bytes]) -> None:
         """Encodes new words together and shares the ids out by their places."""
-        cores = []
-        for word in {self._core(w) for w in words} - self.known.keys():
-            if self.direct and self._is_plain(word.decode("utf-8", "replace")):
-                self.known[word] = self._modelled(word)
-            else:
-                cores.append(word)
+        known, marks = self.known, self.marks if self.splits else {}
+        core_of = {
+            w: w[:-1] if w[-1] in marks and len(w) > 1 and w[-2] in _ALNUM else w for w in words
+        }
+        fresh = [w for w in set(core_of.values()) if known[w] is None]  # from before, or noted once more
+        texts = [w.decode("utf-8", "replace") for w in fresh]
+        plain = [self.direct and self._is_plain(t) for t in texts]
+        tokenize, code, letters = self.model.tokenize, self.code, self.letters
+        for word in compress(fresh, plain):
+            shown = word.decode("latin-1")
+            if not word.isalnum():  # of ASCII letters and digits, each stands for itself
+                shown = shown.translate(letters)
+            known[word] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+        cores = [(w, t) for w, t, p in zip(fresh, texts, plain, strict=True) if not p]
         for start in range(0, len(cores), _TOGETHER):
             part = cores[start : start + _TOGETHER]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            done = self.tokenizer.encode(" ".join(t for _, t in part), add_special_tokens=False)
+            first = np.cumsum([0, *(len(t) + 1 for _, t in part)])
             owner = np.searchsorted(first, [o[0] for o in done.offsets], "right") - 1
             edges = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(part))))) * self.kind.itemsize
             packed = np.array(done.ids, self.kind).tobytes()
-            for word, a, b in zip(part, edges.tolist(), edges[1:].tolist(), strict=False):
-                self.known[word] = packed[a:b]
-        for word in words:
-            core = self._core(word)
+            for (word, _), a, b in zip(part, edges.tolist(), edges[1:].tolist(), strict=False):
+                known[word] = packed[a:b]
+        for word, core in core_of.items():
             if core is not word:
-                self.known[word] = self.known[core] + self.marks[word[-1]]
+                known[word] = known[core] + marks[word[-1]]
+        known.lacking = set()
 
     def packed(self, texts: list[bytes], span: int = 1 << 22) -> list[bytes]:
         """Ids of each text as packed little-endian numbers of ``kind``."""
@@ -120,22 +131,31 @@ class WordTokenizer:
         return self._together([text])[0]
 
     def _together(self, texts: list[bytes]) -> list[bytes]:
+        """Each distinct word of the texts is looked up once; ids are gathered by its number."""
         if len(self.known) > _KEPT:
-            self.known = _Known()
-        words: list[bytes] = []
-        ends = []
-        for t in texts:
-            words += (t.lower() if self.folds and _SPECIAL not in t else t).split()
-            ends.append(len(words))
+            self.known = _Known(self.known)
+        split = pa.array(texts, pa.binary()).view(pa.string())  # any bytes: nothing looks at characters
+        if self.folds:
+            if any(_SPECIAL in t for t in texts):
+                split = pa.array([t if _SPECIAL in t else t.lower() for t in texts], pa.binary()).view(pa.string())
+            else:
+                split = pc.ascii_lower(split)
+        split = pc.ascii_split_whitespace(split)
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.known.__getitem__, words))
         if self.known.lacking:
             self._learn(self.known.lacking)
-            self.known.lacking = set()
-            at = -1
-            for _ in range(found.count(None)):
-                at = found.index(None, at + 1)
-                found[at] = self.known[words[at]]
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+            known = self.known
+            found = [known[w] if x is None else x for w, x in zip(words, found, strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        ids = np.frombuffer(b"".join(found), self.kind)
+        own = coded.indices.to_numpy()
+        edges = np.concatenate(([0], np.cumsum(sizes[own])))
+        starts = np.cumsum(sizes) - sizes
+        ids = ids[np.repeat(starts[own] - edges[:-1], sizes[own]) + np.arange(edges[-1])]
+        cuts = edges[split.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def _parts(text: bytes, span: int):
