@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.tables import table, written
+from fieldpulse.llm.tables import table, unused, written
 
 BLOCK = 4096
 LOWEST = -(1 << 63)  # stands for a null id in joins and comparisons
@@ -164,19 +164,20 @@ def keep_one(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **o
     """``docs`` with one row of each group of equal texts, that with the largest id."""
     groups = exact_groups(docs, text=text, id_column=id_column, **options)
     gone = written(groups.where("NOT kept").select("doc_id", "keep_id", "text_sha256"), "copies")
+    sha, own = unused(docs.columns, "_sha"), unused(docs.columns, "_id")
     mark = docs.withColumns(
         {
-            "_sha": F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256),
-            "_id": F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)),
+            sha: F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256),
+            own: F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)),
         }
     )
     other = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.coalesce("doc_id", F.lit(LOWEST)).alias("_id"), F.col("text_sha256").alias("_sha")
+        F.coalesce("doc_id", F.lit(LOWEST)).alias(own), F.col("text_sha256").alias(sha)
     )
-    left = mark.join(other.distinct(), ["_id", "_sha"], "left_anti")
+    left = mark.join(other.distinct(), [own, sha], "left_anti")
     again = gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     if not again.isEmpty():  # rows that repeat the kept row's id
-        left = left.dropDuplicates(["_id", "_sha"])
+        left = left.dropDuplicates([own, sha])
     return left.select(*docs.columns)
 
 

@@ -29,12 +29,14 @@ RUN = 1024
 HEAD_SHARE = 0.8
 LEVELS = 32  # steps of block lengths per factor of two
 
-_BLOCK = "block long, longest double, ids binary, values binary"
-_SCORED = "query_id long, vec_id long, score long"
+_BLOCK = "block long, longest double, ids binary, times binary, values binary"
+_SCORED = "query_id long, vec_id long, score long, times int"
+BLOCK_BYTES = 1 << 23
 
 
 def whole_vectors(df: DataFrame, id_column: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """Distinct (id, v, norm2) with v = floor(scale * x); others than finite vectors take no part.
+    """Distinct (id, v, times, norm2) with v = floor(scale * x) and the number of rows that are
+    alike; others than finite vectors take no part.
 
     Rows with a null id take no part either. Shorter vectors count as padded with zeros.
     """
@@ -45,7 +47,7 @@ def whole_vectors(df: DataFrame, id_column: str, vector: str, scale: int = SCALE
     v = F.transform(x, lambda e: F.floor(e.cast("double") * scale))
     rows = df.where(F.col(id_column).isNotNull() & fine).select(F.col(id_column).cast("long").alias("id"), v.alias("v"))
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e)
-    return rows.distinct().withColumn("norm2", norm2)
+    return rows.groupBy("id", "v").agg(F.count("*").alias("times")).withColumn("norm2", norm2)
 
 
 def _matrix(rows, width: int) -> np.ndarray:
@@ -84,7 +86,7 @@ def rotation(vectors: DataFrame, width: int) -> tuple[np.ndarray, int]:
 def _packed(width: int, size: int):
     def run(batches):
         part = TaskContext.get().partitionId()
-        number, ids, rows = 0, [], []
+        number, ids, times, rows = 0, [], [], []
 
         def block():
             m = _matrix(rows, width)
@@ -94,18 +96,20 @@ def _packed(width: int, size: int):
                     pa.array([(part << 32) + number], pa.int64()),
                     pa.array([longest]),
                     pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
+                    pa.array([np.array(times, np.int64).tobytes()], pa.binary()),
                     pa.array([m.tobytes()], pa.binary()),
                 ],
-                names=["block", "longest", "ids", "values"],
+                names=["block", "longest", "ids", "times", "values"],
             )
 
         for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, n, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids.append(i)
+                times.append(n)
                 rows.append(v)
                 if len(ids) == size:
                     yield block()
-                    number, ids, rows = number + 1, [], []
+                    number, ids, times, rows = number + 1, [], [], []
         if ids:
             yield block()
 
@@ -118,7 +122,7 @@ def _blocks(vectors: DataFrame, width: int, size: int, total: int) -> DataFrame:
     return (
         vectors.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .select("id", "v")
+        .select("id", "times", "v")
         .mapInArrow(_packed(width, size), _BLOCK)
     )
 
@@ -198,11 +202,12 @@ def _floors(axes, head: int, k: int, ids: bytes, values: bytes):
                 [
                     batch.column("block"),
                     batch.column("ids"),
+                    batch.column("times"),
                     batch.column("values"),
                     pa.array([x[0] for x in out], pa.binary()),
                     pa.array([x[1] for x in out], pa.float64()),
                 ],
-                names=["qb", "q_ids", "q_values", "floor", "need"],
+                names=["qb", "q_ids", "q_times", "q_values", "floor", "need"],
             )
 
     return run
@@ -211,11 +216,14 @@ def _floors(axes, head: int, k: int, ids: bytes, values: bytes):
 def _search(axes, head: int, k: int):
     def run(batches):
         for batch in batches:
-            for row in batch.select(["q_ids", "q_values", "floor", "ids", "values"]).to_pylist():
+            for row in batch.to_pylist():
                 q, c = _Side(row["q_ids"], row["q_values"], axes, head), _Side(row["ids"], row["values"], axes, head)
                 i, j, score = best_of_block(q, c, np.frombuffer(row["floor"]), k)
+                rows, copies = (np.frombuffer(row[x], np.int64) for x in ("q_times", "times"))
+                times = np.minimum(np.minimum(rows[i], k) * np.minimum(copies[j], k), k).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q.ids[i]), pa.array(c.ids[j]), pa.array(score)], names=["query_id", "vec_id", "score"]
+                    [pa.array(q.ids[i]), pa.array(c.ids[j]), pa.array(score), pa.array(times)],
+                    names=["query_id", "vec_id", "score", "times"],
                 )
 
     return run
@@ -235,12 +243,14 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k largest products, ties to the smaller vec_id.
 
-    Both sides come from ``whole_vectors``; a query's own id is never its candidate. Scores must
-    fit a 64-bit number.
+    Both sides come from ``whole_vectors``; a query's own id is never its candidate. Repeated rows
+    are candidates of their own, and a query that is repeated is asked as often. Scores must fit a
+    64-bit number.
     """
     spark = vectors.sparkSession
     vectors = written(vectors, "vectors")
     total, width = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    vectors_per_block = max(1, min(vectors_per_block, BLOCK_BYTES // (8 * (width or 1))))
     empty = spark.createDataFrame([], T.StructType.fromDDL("query_id long, rank int, vec_id long, score long"))
     if not total or not width:
         return empty
@@ -252,7 +262,7 @@ def top_k(
     longest = blocks.orderBy("block").limit(1).first()  # one block, of bounded size
     asking = _blocks(queries, width, queries_per_block, asked).mapInArrow(
         _floors(axes, head, k, bytes(longest.ids), bytes(longest["values"])),
-        "qb long, q_ids binary, q_values binary, floor binary, need double",
+        "qb long, q_ids binary, q_times binary, q_values binary, floor binary, need double",
     )
     asking = written(asking, "queries")
     # Block pairs by length: a query block meets the levels that can still reach one of its floors.
@@ -265,8 +275,10 @@ def top_k(
         F.sequence("low", F.lit(highest))
     ) if highest > -1000 else F.array(F.lit(-1000))
     pairs = wanted.select("qb", F.explode(lengths).alias("level")).join(levels, "level").select("qb", "block")
-    work = pairs.repartition("qb", "block").join(asking, "qb").join(blocks.select("block", "ids", "values"), "block")
-    found = work.select("q_ids", "q_values", "floor", "ids", "values").mapInArrow(_search(axes, head, k), _SCORED)
+    work = pairs.repartition("qb", "block").join(asking, "qb").join(blocks.select("block", "ids", "times", "values"), "block")
+    names = ["q_ids", "q_times", "q_values", "floor", "ids", "times", "values"]
+    found = work.select(*names).mapInArrow(_search(axes, head, k), _SCORED)
+    found = found.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times"))))  # k at most
     ranked = found.selectExpr(
         "query_id", "CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank", "vec_id", "score"
     )

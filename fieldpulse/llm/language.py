@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldpulse.llm.gru import ByteNetwork, packed
-from fieldpulse.llm.tables import held_out, pieces, table
+from fieldpulse.llm.tables import held_out, pieces, table, unused
 
 STEPS = 24
 UNKNOWN = "und"
@@ -140,19 +140,19 @@ def identified(docs: DataFrame, model: LanguageModel, text: str = "text", names=
     """``docs`` with the predicted language and its probability; ``und``, 0 without any letter."""
     if set(names) & set(docs.columns):
         raise ValueError(f"the columns {names} exist already; name others")
-    given = docs.columns
+    given, own = docs.columns, unused(docs.columns, "_text")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
 
     def run(batches):
-        for batch in pieces(batches, PIECE, "_text"):
+        for batch in pieces(batches, PIECE, own):
             found, scores = model.predict([t.as_py() or b"" for t in batch.column(len(given))])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*given, *names]
             )
 
-    return docs.withColumn("_text", F.col(text).cast("binary")).mapInArrow(run, schema)
+    return docs.withColumn(own, F.col(text).cast("binary")).mapInArrow(run, schema)
 
 
 def op3_recurrent_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from fieldpulse.llm import setsketch
 from fieldpulse.llm.components import components
 from fieldpulse.llm.shingles import mixed, shingle_sets
-from fieldpulse.llm.tables import pieces, table, written
+from fieldpulse.llm.tables import pieces, table, unused, written
 
 BANDS, ROWS = 40, 6
 MANY = 64
@@ -317,18 +317,19 @@ def keep_one(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **o
     """``docs`` with one row of each group of near copies; wordless texts all stay."""
     groups = near_groups(docs, text=text, id_column=id_column, **options).where("n_shingles > 0")
     number = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(NO_ID))
+    own = [unused(docs.columns, c) for c in ("_id", "_th")]
     marked = groups.select(
-        number("doc_id").alias("_id"),
-        F.col("th").alias("_th"),
-        ((number("doc_id") == number("component_id")) & (F.col("th") == F.col("keep_th"))).alias("_kept"),
+        number("doc_id").alias(own[0]),
+        F.col("th").alias(own[1]),
+        ((number("doc_id") == number("component_id")) & (F.col("th") == F.col("keep_th"))).alias("kept"),
     )
-    marked = written(marked.groupBy("_id", "_th", "_kept").agg(F.count("*").alias("_times")), "kept")
-    mine = docs.withColumns({"_id": number(id_column), "_th": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    left = mine.join(marked.where("NOT _kept").select("_id", "_th"), ["_id", "_th"], "left_anti")
-    again = marked.where("_kept AND _times > 1").select("_id", "_th")
+    marked = written(marked.groupBy(*own, "kept").agg(F.count("*").alias("times")), "kept")
+    mine = docs.withColumns({own[0]: number(id_column), own[1]: F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    left = mine.join(marked.where("NOT kept").select(*own), own, "left_anti")
+    again = marked.where("kept AND times > 1").select(*own)
     if not again.isEmpty():  # rows that repeat the kept row
-        once = left.join(again, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
-        left = left.join(again, ["_id", "_th"], "left_anti").unionByName(once.select(*left.columns))
+        once = left.join(again, own, "left_semi").dropDuplicates(own)
+        left = left.join(again, own, "left_anti").unionByName(once.select(*left.columns))
     return left.select(*docs.columns)
 
 

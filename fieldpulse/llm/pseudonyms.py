@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import secrets
 from functools import lru_cache
 
 import pyarrow as pa
@@ -298,8 +299,10 @@ def pseudonymised(
 
 
 def session_key(spark: SparkSession) -> bytes:
-    """The key that the session names; a fixed one, for tests, where it names none."""
-    return spark.conf.get(KEY_SETTING, "only for tests").encode()
+    """The key that the session names. Where it names none, a new random key for this call: equal
+    values stay linked within its result, and nobody can undo or continue it afterwards."""
+    named = spark.conf.get(KEY_SETTING, "")
+    return named.encode() if named else secrets.token_bytes(32)
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Document quality by an additive model over features of the whole text."""
+"""Document quality by an additive model over features of the whole text.
+
+Null and empty texts count as empty and are scored; a null doc_id is never learned from. Repeated
+rows each get their score; where labelled rows repeat a doc_id, the one with the least features is
+learned from. Without labelled rows all scores are 0.5. Other columns are handed through, whatever
+their names; only a column with the name of the score is an error. Texts are read whole.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +16,7 @@ from pyspark.sql import types as T
 
 from fieldpulse.llm.gam import AdditiveModel
 from fieldpulse.llm.shingles import word_numbers
-from fieldpulse.llm.tables import held_out, pieces, table
+from fieldpulse.llm.tables import held_out, pieces, table, unused
 
 SAMPLE = 20_000  # labelled rows that a model is fitted on at most
 PIECE = 1 << 21
@@ -92,12 +98,14 @@ def fit(
         for batch in pieces(batches, PIECE):
             x = features(batch.column(0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"]
+                [batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["doc", "y", "x"]
             )
 
     plain = docs.select(F.col(id_column).cast("long").alias("_doc"), F.col(text).cast("binary").alias("text"))
-    found = plain.join(F.broadcast(known), "_doc").select("text", "_label").mapInArrow(run, "x array<double>, y double")
-    rows = sorted((tuple(r.x), r.y) for r in found.limit(4 * sample).collect())
+    found = plain.join(F.broadcast(known), "_doc").select("text", "_doc", "_label")
+    found = found.mapInArrow(run, "doc long, y double, x array<double>")
+    found = found.groupBy("doc", "y").agg(F.min("x").alias("x"))  # no more rows than labels
+    rows = sorted((tuple(r.x), r.y) for r in found.collect())
     x = np.array([r[0] for r in rows]).reshape(-1, len(FEATURES))
     return AdditiveModel().fit(x, np.array([r[1] for r in rows]))
 
@@ -109,11 +117,12 @@ def scored(
     if score in docs.columns:
         raise ValueError(f"the column {score} exists already; name another")
     given = docs.columns
-    wide = docs.withColumn("_text", F.col(text).cast("binary"))
+    own = unused(given, "_text")
+    wide = docs.withColumn(own, F.col(text).cast("binary"))
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches):
-        for batch in pieces(batches, PIECE, "_text"):
+        for batch in pieces(batches, PIECE, own):
             s = model.score(features(batch.column(len(given))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s)], names=[*given, score])
 

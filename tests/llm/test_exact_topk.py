@@ -11,15 +11,16 @@ SCHEMA = "vec_id long, embedding array<double>, label int, id string, v string"
 
 
 def brute(rows, k):
-    seen = {}
-    for i, x in rows:
-        if i is not None and x is not None and all(e is not None and math.isfinite(e) for e in x):
-            seen.setdefault((i, tuple(math.floor(64 * e) for e in x)))
+    fine = [
+        (i, [math.floor(64 * e) for e in x])
+        for i, x in rows
+        if i is not None and x is not None and all(e is not None and math.isfinite(e) for e in x)
+    ]
     out = []
-    for i, q in seen:
-        if i % 20 == 0:
-            s = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in seen if j != i)[:k]
-            out += [(i, r + 1, j, -x) for r, (x, j) in enumerate(s)]
+    for q in sorted({i for i, _ in fine if i % 20 == 0}):
+        asked = [x for i, x in fine if i == q]
+        s = sorted((-sum(a * b for a, b in zip(x, c)), j) for x in asked for j, c in fine if j != q)[:k]
+        out += [(q, r + 1, j, -x) for r, (x, j) in enumerate(s)]
     return sorted(out)
 
 
@@ -53,3 +54,12 @@ def test_bad_vectors_take_no_part(spark):
     assert search(spark, []) == []
     assert search(spark, [(1, [1.0, 2.0])]) == []
     assert search(spark, [(20, [1.0, 2.0])]) == []
+
+
+def test_repeated_rows_count(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(45, 4)))]
+    rows += [rows[7]] * 2 + [rows[20]] * 3 + [(7, rows[9][1]), (40, rows[3][1]), (1000, rows[7][1])]
+    rows += [(77, [9.0, 9.0, 9.0, 9.0])] * 60
+    for k in (3, 20, 200):
+        assert search(spark, rows, k, queries_per_block=4, vectors_per_block=16) == brute(rows, k)

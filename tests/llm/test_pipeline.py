@@ -73,3 +73,24 @@ def test_empty_table(spark):
         out = stage(spark, docs, SMALL)
         assert out.columns == docs.columns and out.count() == 0
     assert cp.pack(spark, docs, SMALL).count() == 0
+
+
+def test_clashing_names_and_rows_out_of_the_ordinary(spark):
+    """Every filtering stage hands other columns through; nulls, repeats and long texts have results."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _id string, _sha string, _th string, _text string, _score string, kept string, c long"
+    long = "many words of one very long text, all alike. " * 20_000
+    texts = [None, "", "one short text", "one short text", long, long, "plain words in a row that make a text"]
+    ids = [1, 2, 3, 4, 5, 6, 7]
+    rows = [(i, t, "en", "s", len(t or ""), "keep1", "keep2", "keep3", "keep4", "keep5", "keep6", i) for i, t in zip(ids, texts, strict=True)]
+    rows += [(*rows[6],)] * 3 + [(None, "null id", *rows[0][2:])] * 2
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got or name == "quality"
+        assert all((r["_id"], r["_sha"], r["_th"], r["_text"], r["_score"], r["kept"]) == tuple(f"keep{k}" for k in range(1, 7)) for r in got), name
+    once = [(r.doc_id, r.text) for r in cp.drop_copies(spark, docs, SMALL).collect()]
+    assert sorted(once, key=repr) == sorted([(2, ""), (4, texts[2]), (6, long), (7, texts[6]), (None, "null id")], key=repr)
+    apart = [(r.doc_id, r.text) for r in cp.drop_near_copies(spark, docs, SMALL).collect()]
+    assert sorted(apart, key=repr) == sorted([(1, None), (2, ""), (3, texts[2]), (5, long), (7, texts[6]), (None, "null id")], key=repr)
