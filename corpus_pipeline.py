@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. ``run`` writes
 every stage's result to the shared folder and reads it again for the next one.
+
+All stages take null and empty texts, null and repeated doc_ids, repeated rows, very long texts and
+empty tables, and hand other columns through whatever their names: null and empty texts are scored
+like any other, are equal to each other for the exact copies (one of them stays), have no words and
+so no near copies, hold no personal data, and give no sequence tokens. The last stage's columns are
+those of ``packing.packed``.
 """
 
 from __future__ import annotations
@@ -10,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse.llm import exact_dedup, near_dedup, packing, pseudonyms, quality
-from fieldpulse.llm.tables import table, written
+from fieldpulse.llm.tables import table, unused, written
 from fieldpulse.llm.word_tokens import default_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model scores 0.5 or more; null and empty texts are scored too."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model, score="_score").where("_score >= 0.5").select(*docs.columns)
+    score = unused(docs.columns, "_score")
+    return quality.scored(docs, model, score=score).where(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
