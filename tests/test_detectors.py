@@ -190,7 +190,7 @@ def test_excluding_current_reaches_flat_baseline(spark):
         .moving_average
     )
     assert (last.severity, last.deviation) == ("CRITICAL", float("inf"))
-    assert "deviates from constant baseline 10.0" in last.description
+    assert "after equal readings of 10.0" in last.description
 
 
 def test_nan_in_baseline_is_normal(spark):
