@@ -920,7 +920,10 @@ SHIFT = 1e8
     sql(
         f"""SELECT bucket, platform_id, sensor_id, sensor_type, avg_value + {SHIFT} AS avg_value,
              min_value + {SHIFT} AS min_value, max_value + {SHIFT} AS max_value, reading_count,
-             round(stddev_value, 4) AS stddev_value FROM ({rollup_sql("1 day")})""",
+             round(d.stddev_value, 4) AS stddev_value FROM ({rollup_sql("1 day")}) r
+             JOIN (SELECT time_bucket(INTERVAL '1 day', time) AS bucket, sensor_id,
+                 stddev_samp(value + {SHIFT}) AS stddev_value FROM readings GROUP BY ALL) d
+             USING (bucket, sensor_id)""",
         "readings",
     ),
 )
