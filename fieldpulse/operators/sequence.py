@@ -65,6 +65,50 @@ def with_preceding_rows(
 ROWS_PER_DEPTH = 20  # rows of a slice for each row of look-back
 MERGED = 64  # slices that one slice of the next pass takes in
 PASSES = 3
+COARSE, FINE = 60_000_000, 1_000  # microseconds: a minute, and the resolution of the readings
+
+
+def row_slices(df: DataFrame, keys: Sequence[str], ts: str, size: int) -> DataFrame:
+    """``df`` with ``_slice``, which cuts each key's time into runs of ``size`` to ``2 * size`` rows,
+    and ``_last``, the highest number that a slice of the key can have.
+
+    A histogram of rows per key and minute is counted map-side; running sums over it number the
+    rows before each minute, and a minute belongs to the slice of its first row. A minute with more
+    than ``size`` rows is counted again by milliseconds. So a burst is cut, a reading far off in
+    time costs one bucket, and a key is one window row for each minute in which it has any reading.
+    Only rows of one millisecond stay together however many they are. A null time comes first.
+    """
+    us = F.unix_micros(ts)
+    marked = df.withColumns({"_coarse": _whole_steps(us, COARSE), "_fine": _whole_steps(us, FINE)})
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    own = list(names.values())
+
+    def named(frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(k).alias(n) for k, n in names.items()], *[c for c in frame.columns if c not in names])
+
+    def before(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    counts = named(marked.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n")))
+    key = Window.partitionBy(*own)
+    minutes = counts.withColumns(
+        {"_before": before(key.orderBy("_coarse")), "_last": F.floor((F.sum("_n").over(key) - 1) / size)}
+    ).withColumnRenamed("_coarse", "_minute")
+    here = [*same, F.col("_coarse").eqNullSafe(F.col("_minute"))]
+    crowded = minutes.filter(F.col("_n") > size).select(*own, "_minute", "_before")
+    inside = marked.select(*keys, "_coarse", "_fine").join(crowded, here).groupBy(*own, "_minute", "_fine")
+    inside = inside.agg(F.count(F.lit(1)).alias("_n"), F.first("_before").alias("_start"))
+    inside = inside.select(
+        *own,
+        F.col("_fine").alias("_instant"),
+        (F.col("_start") + before(Window.partitionBy(*own, "_minute").orderBy("_fine"))).alias("_within"),
+    )
+    found = marked.join(minutes.drop("_n"), here).drop("_minute", "_coarse")
+    found = found.withColumnsRenamed({n: f"{n}_" for n in own})
+    found = found.join(inside, [*same, F.col("_fine").eqNullSafe(F.col("_instant"))], "left")
+    found = found.withColumn("_slice", F.floor(F.coalesce("_within", "_before") / size))
+    return found.drop(*own, *[f"{n}_" for n in own], "_fine", "_instant", "_within", "_before")
 
 
 def with_preceding_rows_sized(
@@ -76,30 +120,16 @@ def with_preceding_rows_sized(
     rows_per_slice: int | None = None,
     merged: int = MERGED,
 ) -> DataFrame:
-    """As :func:`with_preceding_rows`, with slices sized by the rows of each key.
+    """As :func:`with_preceding_rows`, with slices sized by the rows of each key (``row_slices``).
 
-    A key's time is cut into equal slices of ``rows_per_slice`` rows on average, so a sparse
-    series is one slice and needs no second pass. The borders of dense series, a tenth of their
-    rows, are repaired over ``merged`` slices at a time, the borders of that pass over
+    A sparse series is one slice and needs no second pass. The borders of dense series, a tenth of
+    their rows, are repaired over ``merged`` slices at a time, the borders of that pass over
     ``merged`` times as many, and so on: no pass holds a whole series in one window until a
     series has more than ``merged ** PASSES`` slices.
 
-    ``order[0]`` must be a timestamp. Rows and extremes per key come from one map-side aggregate.
+    ``order[0]`` must be a timestamp.
     """
-    size = rows_per_slice or ROWS_PER_DEPTH * max(depth, 1)
-    us = F.unix_micros(order[0])
-    spans = df.groupBy(*keys).agg(
-        F.min(us).alias("_from"), F.max(us).alias("_to"), F.count(F.lit(1)).alias("_rows")
-    )
-    slices = F.greatest(F.floor(F.col("_rows") / size), F.lit(1))
-    spans = spans.withColumns(
-        {"_last": slices - 1, "_step": (F.col("_to") - F.col("_from") + 1) / slices}
-    ).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_from", "_step", "_last")
-    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-    cut = F.least(F.floor((us - F.col("_from")) / F.col("_step")), F.col("_last"))
-    sliced = df.join(spans, same).withColumn("_slice", cut)
-    own = [f"_key{i}" for i in range(len(keys))]
-    sliced = sliced.drop(*own, "_from", "_step")
+    sliced = row_slices(df, keys, order[0], rows_per_slice or ROWS_PER_DEPTH * max(depth, 1))
     return _repaired(sliced, keys, order, depth, add, merged, PASSES).drop("_slice", "_last")
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import math
 import random
 from collections import defaultdict, deque
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import readings
 from fieldpulse.config import PRESETS, DetectorConfig
-from fieldpulse.operators.sequence import with_preceding_rows_sized
+from fieldpulse.operators.sequence import row_slices, with_preceding_rows_sized
 from fieldpulse.operators.detect import (
     BY_ROWS,
     chain_to_alerts,
@@ -289,3 +291,42 @@ def test_few_rows_are_repaired_with_long_windows(spark):
     assert out.count() == 40_050 and out.filter("n < 200").count() == 199 + 50
     second = again[1]
     assert second.count() < 0.2 * 40_050 and second.filter("sensor_id = 'S'").count() == 0
+
+
+def _uneven(spark, start, per_key):
+    """A burst inside one second, a reading every hour, one far off in time, null keys and times."""
+    first = dt.datetime(2024, 1, 1)
+    rows = []
+    for key in ("A", "B", None)[:per_key]:
+        times = [first + dt.timedelta(milliseconds=i % 997) for i in range(600)]
+        times += [first + dt.timedelta(hours=i) for i in range(1, 80)]
+        times += [dt.datetime(9000, 1, 1), dt.datetime(1971, 2, 3), None, None]
+        rows += [(f"r{start + i:05d}", key, t, float(i % 13)) for i, t in enumerate(times)]
+    rows.append(("s", "sparse", first, 1.0))
+    return spark.createDataFrame(rows, "reading_id string, sensor_id string, time timestamp, value double")
+
+
+def test_slices_follow_the_rows(spark):
+    df = _uneven(spark, 0, 3)
+    found = row_slices(df, ["sensor_id"], "time", 40)
+    assert found.drop("_slice", "_last").columns == df.columns and found.count() == df.count()
+    sizes = found.groupBy("sensor_id", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * 40
+    by_key = {}
+    for r in sizes:
+        by_key.setdefault(r.sensor_id, []).append(r._slice)
+    assert len(by_key["A"]) >= 683 // 80 and by_key["sparse"] == [0]
+    rows = sorted((tuple(r[c] for c in ("sensor_id", "time", "_slice", "_last")) for r in found.collect() if r.sensor_id == "A" and r.time), key=lambda r: r[1])
+    assert [r[2] for r in rows] == sorted(r[2] for r in rows) and all(r[2] <= r[3] for r in rows)
+
+
+def test_uneven_series_match_a_plain_loop(spark):
+    df = _uneven(spark, 0, 3)
+
+    def add(frame, window):
+        return frame.withColumn("sum3", F.sum("value").over(window.rowsBetween(-3, 0)))
+
+    got = with_preceding_rows_sized(df, ["sensor_id"], ["time", "reading_id"], 3, add, 20, 4)
+    want = add(df, Window.partitionBy("sensor_id").orderBy("time", "reading_id"))
+    rows = lambda f: sorted(map(tuple, f.collect()), key=repr)
+    assert rows(got.select(*want.columns)) == rows(want)
