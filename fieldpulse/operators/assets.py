@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldpulse.operators.sequence import extreme_rows
 from fieldpulse.functions.times import instant, seconds_between, since
 
 # Weights and bands of the health score: critical alerts count in full, warnings half.
@@ -100,15 +101,19 @@ def emission_summary(assessed: DataFrame) -> DataFrame:
 
 def audit_failures(dlq: DataFrame, with_payload: bool = True) -> DataFrame:
     """Dead letters per stage and reason: count, first and last time, the newest as a sample."""
-    order = F.struct("failed_at", "body")
-    columns = {
-        "failures": F.count(F.lit(1)),
-        "sensors": F.countDistinct("sensor_id"),
-        "first_at": F.min("failed_at"),
-        "last_at": F.max("failed_at"),
-        "sample_sensor_id": F.max_by("sensor_id", order),
-        "sample_platform_id": F.max_by("platform_id", order),
-    }
-    if with_payload:
-        columns["sample_body"] = F.max_by("body", order)
-    return dlq.groupBy("stage", "error_reason").agg(*[c.alias(n) for n, c in columns.items()])
+    keys = ["stage", "error_reason"]
+    counts = dlq.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("failures"),
+        F.countDistinct("sensor_id").alias("sensors"),
+        F.min("failed_at").alias("first_at"),
+        F.max("failed_at").alias("last_at"),
+    )
+    newest = extreme_rows(dlq.select(*keys, "failed_at", "body", "sensor_id", "platform_id"), keys, ["failed_at", "body"])
+    sample = newest.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        F.col("sensor_id").alias("sample_sensor_id"),
+        F.col("platform_id").alias("sample_platform_id"),
+        *([F.col("body").alias("sample_body")] if with_payload else []),
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return counts.join(sample, same).drop(*[f"_{k}" for k in keys])

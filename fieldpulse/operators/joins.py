@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldpulse.operators.sequence import extreme_rows
 from fieldpulse.functions.times import instant
 from fieldpulse.sources.reference import DEFAULT_SIGNAL, FITTED_TYPES, SENSOR_TEMPLATES
 
@@ -162,14 +163,13 @@ def append_new(
 ) -> DataFrame:
     """``existing`` plus the incoming rows whose key it does not hold yet.
 
-    Of incoming rows sharing a key the first by ``order`` (else by all columns) is taken; the
-    reduction to one row per key runs map-side, so a much repeated key does not pile up.
+    Of incoming rows sharing a key the first by ``order`` (else by all columns) is taken, see
+    ``extreme_rows``; a much repeated key does not pile up.
     """
-    rest = [c for c in incoming.columns if c not in keys]
-    first = F.struct(*[F.col(c) for c in [*order, *rest]])
-    chosen = incoming.groupBy(*keys).agg(F.min_by(F.struct(*incoming.columns), first).alias("_r"))
-    fresh = chosen.select("_r.*").join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(fresh, allowMissingColumns=True)
+    rest = [c for c in incoming.columns if c not in keys and c not in order]
+    chosen = extreme_rows(incoming, keys, [*order, *rest], newest=False)
+    fresh = chosen.join(existing.select(*keys), list(keys), "left_anti")
+    return existing.unionByName(fresh.select(*incoming.columns), allowMissingColumns=True)
 
 
 def join_by_field(frames: dict[str, DataFrame], key: str, value: str = "value") -> DataFrame:

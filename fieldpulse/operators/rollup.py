@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import instant, seconds_between, seconds_of, since
+from fieldpulse.operators.sequence import extreme_rows
 from fieldpulse.session import file_system, scratch_dir
 from fieldpulse.sources.reference import REFRESH_POLICIES
 
@@ -219,8 +220,7 @@ def latest(
 ) -> DataFrame:
     """Newest row of every key, optionally only of keys seen within the look-back."""
     rows = df if lookback is None else since(df, as_of, lookback, ts)
-    newest = F.max_by(F.struct(*df.columns), F.struct(ts, *tie))
-    return rows.groupBy(*keys).agg(newest.alias("_row")).select("_row.*")
+    return extreme_rows(rows, keys, [ts, *tie])
 
 
 def compact_latest(

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldpulse.functions.times import seconds_between, seconds_of
 
@@ -226,3 +227,40 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: str) -> DataFrame
             F.sum("_rows").alias("rows"),
         )
     )
+
+
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _digestible(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _digestible(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_digestible(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def extreme_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], newest: bool = True
+) -> DataFrame:
+    """Of each key the row that comes last by ``order`` (first, unless ``newest``), in two steps.
+
+    The extreme of ``order[0]`` is a number or a time, so a hash aggregate finds it without moving
+    or sorting any row; only rows that reach it are then ranked by the rest of ``order`` and a
+    digest of the whole row, each partition handing on one row per key. Null keys form a group; null
+    values are the smallest. Where ``order[0]`` is a text, all rows are ranked. Of repeated rows
+    one stays.
+    """
+    rows = df
+    if order and isinstance(df.schema[order[0]].dataType, _FIXED_WIDTH):
+        c = F.col(order[0])
+        # Nulls are the smallest values; max and min leave them out.
+        best = F.max(c) if newest else F.when(F.count(F.lit(1)) == F.count(c), F.min(c))
+        top = df.groupBy(*keys).agg(best.alias("_best"))
+        top = top.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_best")
+        same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+        rows = df.join(top, [*same, c.eqNullSafe(F.col("_best"))], "left_semi")
+    digest = F.xxhash64(*[f.name for f in df.schema.fields if _digestible(f.dataType)])
+    ranked = [*(F.col(o) for o in order), digest]
+    window = Window.partitionBy(*keys).orderBy(*[x.desc() if newest else x.asc() for x in ranked])
+    return rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

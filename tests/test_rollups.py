@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, readings
 from fieldpulse.functions.labels import band, label_map
+from fieldpulse.operators.sequence import extreme_rows
 from fieldpulse.operators.rollup import (
     apply_retention,
     compact_latest,
@@ -161,3 +162,19 @@ def test_merged_deviation_keeps_its_digits(spark, offset):
     assert direct.stddev_value > 0.01
     assert merged.stddev_value == pytest.approx(direct.stddev_value, rel=1e-5)
     assert merged.avg_value == pytest.approx(direct.avg_value, rel=1e-12)
+
+
+def test_newest_rows_are_found_without_sorting_all_rows(spark):
+    rows = [("a", 1, "x", 1.0), ("a", 3, "x", 2.0), ("a", 3, "y", 3.0), ("a", 3, "y", 3.0), (None, 2, "n", 4.0), (None, None, "z", 5.0)]
+    rows += [("b", None, "p", 6.0), ("b", None, "q", 7.0)] + [("hot", 9, "same", 8.0)] * 500
+    df = spark.createDataFrame(rows, "k string, t long, tie string, v double")
+    got = sorted(map(tuple, extreme_rows(df, ["k"], ["t", "tie"]).collect()), key=repr)
+    assert got == sorted([("a", 3, "y", 3.0), (None, 2, "n", 4.0), ("b", None, "q", 7.0), ("hot", 9, "same", 8.0)], key=repr)
+    first = sorted(map(tuple, extreme_rows(df, ["k"], ["t", "tie"], newest=False).collect()), key=repr)
+    assert first == sorted([("a", 1, "x", 1.0), (None, None, "z", 5.0), ("b", None, "p", 6.0), ("hot", 9, "same", 8.0)], key=repr)
+    by_text = sorted(map(tuple, extreme_rows(df, ["k"], ["tie"]).collect()), key=repr)
+    assert [r[2] for r in by_text] == ["y", "q", "same", "z"]
+    for found in (latest(df, ["k"], ts="t", tie=("tie",)), compact_latest(df, ["k"], "t", ("tie",))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "WindowGroupLimit" in plan
+    assert extreme_rows(df.limit(0), ["k"], ["t"]).count() == 0
