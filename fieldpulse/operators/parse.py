@@ -46,6 +46,10 @@ def with_parsed(
     The checks run in order - unreadable document, sensor id missing (empty text, 0 and false
     count as missing), value missing, value not a number, time unreadable - and the first
     failure names the row. JSON booleans are numbers, numbers may be written as text.
+
+    Numbers, time and the test of the sensor id are computed behind a one-element ``explode``,
+    like the document itself: the optimiser copies no expression across it, so each is evaluated
+    once however many filters and outputs ask for the reason, which only looks at their results.
     """
     body = F.col(col)
     doc = with_document(df, FIELDS, col)
@@ -62,16 +66,24 @@ def with_parsed(
     empty = sensor_text.isin("", "[]", "{}")
     no_sensor = sensor_text.isNull() | empty | falsy
 
-    time = normalize_ts(field["timestamp"])
+    typed = {
+        "value": value,
+        "time": normalize_ts(field["timestamp"]),
+        "quality_score": to_number(field["quality_score"]),
+        "unnamed": no_sensor,
+    }
+    once = F.explode(F.array(F.struct(*[c.alias(n) for n, c in typed.items()])))
+    doc = doc.withColumn("_typed", once)
+    typed = {name: F.col("_typed")[name] for name in typed}
     checks: list[tuple[Column, str, Column]] = [
         (F.col("_doc").isNull(), "invalid_json", F.lit("not a JSON object"))
     ]
     if require_sensor:
-        checks.append((no_sensor, "missing_sensor_id", F.lit("no sensor_id")))
+        checks.append((typed["unnamed"], "missing_sensor_id", F.lit("no sensor_id")))
     checks += [
         (value_text.isNull(), "missing_value", F.lit("no value")),
         (
-            value.isNull(),
+            typed["value"].isNull(),
             "non_numeric_value",
             F.concat(F.lit("not a number: "), value_text),
         ),
@@ -79,7 +91,7 @@ def with_parsed(
     if require_time:
         checks.append(
             (
-                time.isNull(),
+                typed["time"].isNull(),
                 "bad_timestamp",
                 F.concat(F.lit("no time: "), F.coalesce(field["timestamp"], F.lit(""))),
             )
@@ -87,16 +99,16 @@ def with_parsed(
     return doc.withColumns(
         {
             **{n: field[n] for n in FIELDS if n not in ("value", "timestamp", "quality_score")},
-            "value": value,
+            "value": typed["value"],
             "value_text": value_text,
-            "time": time,
-            "quality_score": to_number(field["quality_score"]),
+            "time": typed["time"],
+            "quality_score": typed["quality_score"],
             "error_reason": first_match(checks, 1),
             "error_text": first_match(checks, 2),
         }
     ).withColumn(
         "severity", F.when(F.col("error_reason").isNotNull(), F.lit("UNKNOWN"))
-    ).drop("_doc")
+    ).drop("_doc", "_typed")
 
 
 def first_match(checks, position: int) -> Column:
