@@ -20,7 +20,7 @@ from fieldpulse.operators.rollup import (
     write_rollup,
 )
 from fieldpulse.plans.flow import Dimensions, FlowConfig, stateless_stages
-from fieldpulse.session import scratch_dir
+from fieldpulse.session import file_system, scratch_dir
 from fieldpulse.sources.readers import explode_batch, read_readings
 from fieldpulse.sources.reference import REFRESH_POLICIES
 from fieldpulse.sources.sinks import (
@@ -79,6 +79,88 @@ def complete_rollup(
     return found.n
 
 
+def start_logged_facts(
+    stream: DataFrame,
+    facts: str,
+    log: str,
+    checkpoint: str,
+    width: str = "1 minute",
+    ts: str = "time",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The fact table fed by a stream, with a log of the rollup buckets that each micro-batch touches.
+
+    Facts lie in ``date`` folders, log entries (date, bucket) in one folder per micro-batch. Both
+    are replaced when a micro-batch is repeated, the log first: a bucket may be listed without new
+    rows, but no row comes in without its bucket being listed. However late a row is, it only lists
+    its own bucket.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            touched = held.select(F.window(ts, width)["start"].alias("bucket")).distinct()
+            touched = touched.withColumns({"date": F.to_date("bucket"), "batch_id": F.lit(batch_id)})
+            touched.write.partitionBy("batch_id").mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(log)
+            _replace_batch(held.drop("date"), facts, batch_id, F.to_date(ts), "parquet")
+        finally:
+            held.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": MERGE_TRIGGER}))
+        .start()
+    )
+
+
+def refresh_logged(
+    spark: SparkSession,
+    facts: str,
+    log: str,
+    path: str,
+    width: str = "1 minute",
+    ts: str = "time",
+    by: Sequence[str] = SERIES,
+) -> list[dt.date]:
+    """Bring a stored rollup up to date with the log: recompute the listed buckets and rewrite the
+    days that hold them, no others. Gives these days.
+
+    Micro-batches that a refresh has dealt with are noted in ``{log}-done`` after the rewrite, so a
+    refresh that was interrupted is repeated, with the same result. The days, not the buckets, go
+    through the driver; as literals they prune the folders of facts and rollup.
+    """
+    done = f"{log}-done"
+    listed = spark.read.parquet(log)
+    store, noted = file_system(spark, done)
+    if store.exists(noted):
+        listed = listed.join(spark.read.parquet(done), "batch_id", "left_anti")
+    staged = scratch_dir(spark, "rollup-listed")
+    listed.write.parquet(f"{staged}/log")  # what this refresh deals with, whatever arrives meanwhile
+    listed = spark.read.schema(listed.schema).parquet(f"{staged}/log")
+    days = sorted(row.date for row in listed.select("date").distinct().collect())
+    if not days:
+        return []
+    buckets = listed.select("bucket").distinct()
+    own = F.col("date").isin(days)
+    # A bucket lies within one day of facts, as widths divide a day.
+    rows = spark.read.parquet(facts).filter(own).withColumn("_bucket", F.window(ts, width)["start"])
+    rows = rows.join(buckets.withColumnRenamed("bucket", "_bucket"), "_bucket", "left_semi")
+    fresh = rollup(rows, width, ts, by)
+    store, target = file_system(spark, path)
+    if store.exists(target):
+        stored = spark.read.parquet(path).filter(own).drop("date")
+        fresh = stored.join(buckets, "bucket", "left_anti").select(fresh.columns).unionByName(fresh)
+    write_rollup(fresh, f"{staged}/rollup")
+    spark.read.parquet(f"{staged}/rollup").write.partitionBy("date").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+    listed.select("batch_id").distinct().write.mode("append").parquet(done)
+    return days
+
+
 def aggregate_stream(stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """One-minute aggregates as keyed records for the aggregation topic."""
     return to_keyed_records(

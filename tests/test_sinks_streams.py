@@ -356,3 +356,41 @@ def test_rolling_matches_plain_loop():
             frame = values[max(0, i - size + 1) : i + 1]
             assert n[j] == len(frame)
             assert mean[j] == pytest.approx(frame.mean()) and std[j] == pytest.approx(frame.std())
+
+
+def test_logged_rollup_refreshes_only_listed_days(spark, tmp_path):
+    """Late readings of two far-apart days: only their folders are read and written again."""
+    base, schema = str(tmp_path), READING_SCHEMA
+    day = 86_400.0
+    first = readings(spark, [(s, d * day + 600.0 * i, float(i)) for s in ("A", "B") for d in range(8) for i in range(20)])
+    late = readings(spark, [("A", 1 * day + 30.0, 99.0), ("C", 6 * day + 45.0, 5.0), ("A", 1 * day + 90_00.0, 1.0)])
+
+    def run(rows):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        jobs.start_logged_facts(stream, f"{base}/facts", f"{base}/log", f"{base}/cp", trigger={"availableNow": True}).awaitTermination()
+
+    def files():
+        return {d: sorted(os.listdir(f"{base}/agg/{d}")) for d in os.listdir(f"{base}/agg") if d.startswith("date=")}
+
+    def stored():
+        return spark.read.parquet(f"{base}/agg").drop("date")
+
+    run(first)
+    assert len(jobs.refresh_logged(spark, f"{base}/facts", f"{base}/log", f"{base}/agg")) == 8
+    before = files()
+    assert jobs.refresh_logged(spark, f"{base}/facts", f"{base}/log", f"{base}/agg") == [] and files() == before
+    run(late)
+    days = jobs.refresh_logged(spark, f"{base}/facts", f"{base}/log", f"{base}/agg")
+    assert [str(d) for d in days] == ["2024-01-02", "2024-01-07"]
+    changed = {d for d, f in files().items() if before[d] != f}
+    assert changed == {"date=2024-01-02", "date=2024-01-07"}
+    want = rollup(first.unionByName(late), "1 minute")
+    assert stored().count() == want.count() and stored().select(want.columns).exceptAll(want).isEmpty()
+    plan = spark.read.parquet(f"{base}/facts").filter(F.col("date").isin(days))
+    assert len(plan.inputFiles()) > 0 and "PartitionFilters: [date" in plan._jdf.queryExecution().executedPlan().toString()
+    # A refresh that stopped before it noted its batches is repeated with the same result.
+    spark.read.parquet(f"{base}/log-done").limit(0).write.parquet(f"{base}/none")
+    os.rename(f"{base}/log-done", f"{base}/was-done")
+    assert len(jobs.refresh_logged(spark, f"{base}/facts", f"{base}/log", f"{base}/agg")) == 8
+    assert stored().select(want.columns).exceptAll(want).isEmpty()
