@@ -41,9 +41,9 @@ from fieldpulse.llm.csr import Csr
 from fieldpulse.llm.sentence_pieces import BYTE, PieceModel, model
 from fieldpulse.llm.tables import matched, pieces, table, written
 
-CHUNK = 1 << 21
-KEPT_UNITS, KEPT_BYTES = 300_000, 1 << 24
-TOGETHER = 1 << 18
+CHUNK = 1 << 20
+KEPT_UNITS, KEPT_BYTES = 200_000, 1 << 23
+TOGETHER = 1 << 17
 
 _DOCUMENTS = "doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, n_shared array<long>, digests array<string>"
 _CHUNK = f"chunk long, {_DOCUMENTS}, sizes array<int>, units binary, starts binary, columns binary, amounts binary, a array<int>, b array<int>, times array<long>"
@@ -331,6 +331,8 @@ def _chunked(byte_path: str, piece_path: str, size: int):
 
 def _scored(batches):
     """Chunks with the counts of their pairs: a row per document."""
+    aligner.cache_clear()  # a worker that cut chunks before needs its units no more
+    model.cache_clear()
     for batch in batches:
         for i in range(batch.num_rows):
             row = {k: batch.column(k)[i] for k in batch.schema.names}
