@@ -33,7 +33,7 @@ from fieldpulse.plans.views import (
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources import contracts, readers, reference, sinks
 from fieldpulse.streaming import detectors as stream_detectors
-from fieldpulse.streaming import jobs
+from fieldpulse.streaming import compacted, jobs
 
 Query = Callable[[Views], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -1699,6 +1699,35 @@ def _(v: Views) -> DataFrame:
     )
 
 
+@query(
+    "compacted_topic",
+    sql(
+        f"""SELECT sensor_id, reading_id, "time", value FROM (
+              SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY "time" DESC, reading_id DESC) AS n
+              FROM readings WHERE "time" >= {NOW} - INTERVAL '20 days')
+            WHERE n = 1 AND quality_flag <> 'BAD'""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """A topic that is compacted and expires, fed in nine micro-batches and folded by threes; a
+    sensor whose newest reading is bad counts as deleted. One micro-batch comes twice."""
+    base = scratch_dir(v.spark, "compacted-topic")
+    rows = v.readings.select("sensor_id", "reading_id", "time", "value", "quality_flag")
+    rows.repartition(9, "reading_id").write.parquet(f"{base}/landed")
+    topic = compacted.CompactedTopic(
+        f"{base}/topic", rows.schema, ("sensor_id",), "time", ("reading_id",), "quality_flag = 'BAD'",
+        retention_days=20, buckets=2, fan=3,
+    )
+    stream = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    compacted.start_compacted(stream, topic, f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
+    if compacted.write_delta(topic, rows.limit(0), 4):
+        raise RuntimeError("a micro-batch came in twice")
+    compacted.fold(v.spark, topic, AS_OF)
+    compacted.drop_hidden(v.spark, topic, 0.0)
+    return compacted.read_topic(v.spark, topic, AS_OF).drop("quality_flag")
+
+
 @query("stream_detect", DETECT_SQL)
 def _(v: Views) -> DataFrame:
     stream = readings_of(v.stream_events()).drop("event_id", "event_type")
