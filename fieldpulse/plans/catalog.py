@@ -31,7 +31,7 @@ from fieldpulse.plans.views import (
     readings_of,
 )
 from fieldpulse.session import scratch_dir
-from fieldpulse.sources import contracts, readers, reference, sinks
+from fieldpulse.sources import contracts, publish, readers, reference, sinks
 from fieldpulse.streaming import detectors as stream_detectors
 from fieldpulse.streaming import compacted, jobs
 
@@ -1651,6 +1651,42 @@ def _(v: Views) -> DataFrame:
     )
 
 
+FLOW_RUNS = 2  # runs into which the published flow's documents are dealt
+
+
+@query(
+    "published_records",
+    sql(
+        f"""SELECT run, topic, count(*) AS records FROM (
+              SELECT 'day-' || (event_id % {FLOW_RUNS}) AS run, unnest(CASE
+                WHEN error_reason IS NOT NULL THEN ['sensor.raw', 'sensor.dlq']
+                WHEN TRY_CAST(value_text AS DOUBLE) NOT BETWEEN 0 AND 300
+                  THEN ['sensor.raw', 'sensor.validated', 'sensor.enriched', 'sensor.dlq']
+                ELSE ['sensor.raw', 'sensor.validated', 'sensor.enriched'] END) AS topic
+              FROM parsed) GROUP BY run, topic""",
+        "parsed",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Records of the flow's topics per run. An attempt at the first run breaks off, the last run
+    is done twice: neither shows in the result."""
+    base = scratch_dir(v.spark, "published")
+    config = flow.FlowConfig(FIXTURE, RULE_FIXTURE, archive_layout="date")
+
+    def part(k: int) -> DataFrame:
+        return v.raw.filter(F.col("event_id") % FLOW_RUNS == k)
+
+    broken = publish.begin(v.spark, base, "day-0")
+    sinks.write_records(
+        sinks.to_keyed_records(part(0).select("body"), [F.lit("raw")], "sensor.raw"), broken.path("topics")
+    )
+    for k in (*range(FLOW_RUNS), FLOW_RUNS - 1):
+        flow.run_batch(part(k), dimensions(v), base, config, f"day-{k}")
+    records = publish.read_published(v.spark, base, "topics", "key string", "topic string")
+    shown = records.filter(F.col("topic").isin("sensor.raw", "sensor.validated", "sensor.enriched", "sensor.dlq"))
+    return shown.groupBy("run", "topic").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query(
     "stream_rollup",
     sql(

@@ -20,6 +20,7 @@ from fieldpulse.operators.routing import (
 )
 from fieldpulse.operators.validate import gate_error, quality_gate, validate_range
 from fieldpulse.session import scratch_dir
+from fieldpulse.sources import publish
 from fieldpulse.sources.contracts import normalize_vocabulary
 from fieldpulse.sources.sinks import (
     archive_json,
@@ -189,44 +190,57 @@ def stateless_stages(raw: DataFrame, dims: Dimensions, config: FlowConfig) -> St
     return Stages(with_parsed(raw), dims, config)
 
 
+OUTPUTS = ("readings", "alerts", "compliance", "archive", "dlq", "topics")
+
+
 def run_batch(
-    raw: DataFrame, dims: Dimensions, out: str, config: FlowConfig | None = None
+    raw: DataFrame,
+    dims: Dimensions,
+    out: str,
+    config: FlowConfig | None = None,
+    run_id: str | None = None,
 ) -> dict[str, str]:
     """The whole flow over one set of documents; returns where each result was written.
 
     Outputs: facts, archive, routed alerts of detectors and rules, compliance events, dead letters
-    of four feeds, and all of them as keyed topics.
-
-    Detectors that look back run over the gated readings of this call. Documents are parsed
-    once into a table in the shared scratch folder; every sink reads the columns it needs from
-    there, and a lost executor does not cost a second parse.
+    of four feeds, and all of them as keyed topics. They are published together: a run that stops
+    half-way shows in none of them, and a run repeated under its ``run_id`` replaces itself
+    (``publish.read_published`` reads an output over all runs).
+
+    Detectors that look back run over the gated readings of this call. Documents are read and
+    parsed once into a table in the shared scratch folder, alerts and dead letters into two others;
+    every sink reads the columns it needs from there, and a lost executor does not cost a second
+    parse.
     """
     config = config or FlowConfig()
     spark = raw.sparkSession
-    staged = scratch_dir(spark, "flow-parsed")
-    with_parsed(raw).write.parquet(staged)
-    stages = Stages(spark.read.parquet(staged), dims, config)
-    outputs = ("readings", "alerts", "compliance", "archive", "dlq", "topics")
-    paths = {n: f"{out}/{n}" for n in outputs}
+    attempt = publish.begin(spark, out, run_id)
+    paths = {n: attempt.path(n) for n in OUTPUTS}
+
+    def staged(df: DataFrame, purpose: str) -> DataFrame:
+        place = scratch_dir(spark, purpose)
+        df.write.parquet(place)
+        return spark.read.schema(df.schema).parquet(place)
+
+    stages = Stages(staged(with_parsed(raw), "flow-parsed"), dims, config)
     write_readings(stages.gated, paths["readings"])
     archive_json(stages.enriched, paths["archive"], layout=config.archive_layout)
-    # Read again below, so that detectors that look back run once.
-    found = scratch_dir(spark, "flow-alerts")
-    stages.routed(detect_all(stages.gated, config.detectors)).write.parquet(found)
-    alerts = spark.read.parquet(found)
+    alerts = staged(stages.routed(detect_all(stages.gated, config.detectors)), "flow-alerts")
     events = compliance_events(alerts)
     write_alerts(alerts, paths["alerts"])
     events.withColumn("date", F.to_date("detected_at")).write.mode("append").partitionBy("date").parquet(
         paths["compliance"]
     )
-    write_dlq(stages.dead_letters, paths["dlq"])
+    dead = staged(stages.dead_letters, "flow-dead")
+    write_dlq(dead, paths["dlq"])
     for records in (
-        to_keyed_records(raw.select("body"), [F.lit("raw")], TOPICS["raw"]),
+        to_keyed_records(stages.parsed.select("body"), [F.lit("raw")], TOPICS["raw"]),
         to_keyed_records(stages.validated.drop("body", "value_text"), ["sensor_id"], TOPICS["validated"]),
         to_keyed_records(stages.enriched, ["sensor_id"], TOPICS["enriched"]),
         to_keyed_records(alerts, ["sensor_id", "anomaly_type"], TOPICS["alert"]),
         to_keyed_records(events, ["platform_id", "report_type"], TOPICS["compliance"]),
-        to_keyed_records(stages.dead_letters, ["stage"], TOPICS["dlq"]),
+        to_keyed_records(dead, ["stage"], TOPICS["dlq"]),
     ):
         write_records(records, paths["topics"])
+    publish.commit(spark, attempt)
     return paths

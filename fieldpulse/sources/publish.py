@@ -13,7 +13,7 @@ import re
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,40 +76,43 @@ def committed(spark: SparkSession, base: str) -> list[Attempt]:
     return sorted(found, key=lambda a: a.run_id)
 
 
+def _from_path(name: str, dtype: T.DataType) -> Column:
+    """The value of a folder ``name=…`` above a row's file; null for the writers' null folder.
+
+    The path is a URI, and folder names escape special characters once more.
+    """
+    value = F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(name)}=([^/]*)/", 1)
+    for _ in range(2):
+        value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value).cast(dtype)
+
+
 def read_published(
     spark: SparkSession,
     base: str,
     output: str,
     schema: T.StructType | str,
+    folders: T.StructType | str = "",
     fmt: str = "parquet",
-    below: str = "",
     **options: str,
 ) -> DataFrame:
-    """The rows of one output over all committed runs, each with its ``run``.
+    """The rows of one output over all committed runs, in one scan, each with its ``run``.
 
-    ``schema`` holds the output's own columns and folders; ``below`` is a folder that its writer adds.
+    ``schema`` holds the columns in the files, ``folders`` those that the writer made folders of, at
+    whatever depth.
     """
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    places = [a.path(output) + (f"/{below}" if below else "") for a in committed(spark, base)]
-    places = [p for p in places if (found := file_system(spark, p))[0].exists(found[1])]
-    layout = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+    own, above = (T.StructType.fromDDL(x) if isinstance(x, str) else x for x in (schema, folders or T.StructType()))
+    places = []
+    for attempt in committed(spark, base):
+        store, path = file_system(spark, attempt.path(output))
+        if store.exists(path):
+            places.append(attempt.path(output))
+    layout = T.StructType([*own.fields, *above.fields, T.StructField("run", T.StringType())])
     if not places:
         return spark.createDataFrame([], layout)
-    if below:
-        # The run lies above the folder that the writer adds: its name comes from the path.
-        rows = [
-            spark.read.schema(schema).options(**options).format(fmt).load(p).withColumn("run", F.lit(a.run_id))
-            for a in committed(spark, base)
-            if (p := f"{a.path(output)}/{below}") in places
-        ]
-        result = rows[0]
-        for frame in rows[1:]:
-            result = result.unionByName(frame)
-        return result
-    full = T.StructType([*layout.fields, T.StructField("attempt", T.StringType())])
-    reader = spark.read.schema(full).options(**options).option("basePath", f"{base}/{output}")
-    return reader.format(fmt).load(places).drop("attempt")
+    rows = spark.read.schema(own).options(recursiveFileLookup="true", **options).format(fmt).load(places)
+    found = [_from_path(f.name, f.dataType).alias(f.name) for f in layout.fields[len(own.fields) :]]
+    return rows.select(*own.fieldNames(), *found)
 
 
 def drop_superseded(spark: SparkSession, base: str, outputs: list[str]) -> int:
