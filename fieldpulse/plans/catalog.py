@@ -16,7 +16,17 @@ from fieldpulse.functions.guards import clamp
 from fieldpulse.functions.labels import RESOLVED_LABELS, band, label_map
 from fieldpulse.functions.times import instant, normalize_ts, rewrite_epoch_in_text
 from fieldpulse.operators import alerts as al
-from fieldpulse.operators import assets, detect, joins, metrics, parse, rollup, routing, validate
+from fieldpulse.operators import (
+    assets,
+    detect,
+    joins,
+    metrics,
+    parse,
+    rollup,
+    routing,
+    stages,
+    validate,
+)
 from fieldpulse.plans import dashboards as dash
 from fieldpulse.plans import flow
 from fieldpulse.plans.oracles import NOW, band_sql, rollup_sql, sql
@@ -33,7 +43,7 @@ from fieldpulse.plans.views import (
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources import contracts, publish, readers, reference, sinks
 from fieldpulse.streaming import detectors as stream_detectors
-from fieldpulse.streaming import compacted, jobs
+from fieldpulse.streaming import compacted, jobs, merging
 
 Query = Callable[[Views], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -1735,6 +1745,52 @@ def _(v: Views) -> DataFrame:
     )
 
 
+@query(
+    "merged_records",
+    sql("""SELECT platform_id, reading_id, true AS in_whole_batch FROM readings""", "readings"),
+)
+def _(v: Views) -> DataFrame:
+    """Readings of a stream of four files, merged per platform by 100 records or 5 seconds."""
+    base = scratch_dir(v.spark, "merged")
+    v.readings.select("platform_id", "sensor_id", "reading_id").repartition(4, "reading_id").write.parquet(f"{base}/landed")
+    rows = v.spark.read.parquet(f"{base}/landed")
+    stream = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landed")
+    records = sinks.to_keyed_records(stream, ["sensor_id"])
+    records = records.withColumn("platform_id", F.get_json_object("value", "$.platform_id"))
+    merged = merging.merge_records(records, ("platform_id",), lanes=1)
+    job = jobs.start_file_sink(merged, f"{base}/out", f"{base}/checkpoint", trigger={"processingTime": "1 second"})
+    batches = merging.await_records(v.spark, job, f"{base}/out", merged.schema, rows.count())
+    whole = (F.col("closed_by") == "time") | (F.col("records") >= merging.MIN_RECORDS)
+    return batches.select("platform_id", whole.alias("in_whole_batch"), F.explode("values").alias("value")).select(
+        "platform_id", F.get_json_object("value", "$.reading_id").alias("reading_id"), "in_whole_batch"
+    )
+
+
+def _over_floor(pdf, config):
+    """How often a value holds the floor; a reading below it is an error."""
+    if (pdf["value"] < config["floor"]).any():
+        raise ValueError(f"below {config['floor']:g}")
+    return (pdf[["value"]] / config["floor"]).rename(columns={"value": "times"})
+
+
+@query(
+    "user_stage",
+    sql(
+        """SELECT reading_id, CASE WHEN value >= 3 THEN round(value / 3, 6) END AS times,
+             CASE WHEN value < 3 THEN 'over_floor' END AS stage,
+             CASE WHEN value < 3 THEN 'stage_error' END AS error_reason,
+             CASE WHEN value < 3 THEN 'ValueError: below 3' END AS error_text FROM readings""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """A user's record function that raises on some readings, both outputs together."""
+    floor = stages.Property("floor", float, required=True, low=0.0)
+    run = flow.stage(stages.isolated(_over_floor, "times double", (floor,), {"floor": "3"}), name="over_floor")
+    passed, failed = run(v.readings.select("reading_id", "value"))
+    return passed.unionByName(failed, allowMissingColumns=True).drop("value")
+
+
 @query(
     "compacted_topic",
     sql(
