@@ -41,7 +41,7 @@ from fieldpulse.plans.views import (
     readings_of,
 )
 from fieldpulse.session import scratch_dir
-from fieldpulse.sources import contracts, publish, readers, reference, sinks
+from fieldpulse.sources import contracts, evolution, publish, readers, reference, sinks
 from fieldpulse.streaming import detectors as stream_detectors
 from fieldpulse.streaming import compacted, jobs, merging
 
@@ -1745,6 +1745,65 @@ def _(v: Views) -> DataFrame:
     )
 
 
+def _version(*fields: tuple) -> contracts.Contract:
+    made = [contracts.ContractField(name, kind, **options) for name, kind, options in fields]
+    return contracts.Contract("reading", "sensor.raw", tuple(made))
+
+
+_ID = ("event_id", T.LongType(), {})
+VERSIONS = {
+    "v1": _version(_ID, ("value", T.IntegerType(), {}), ("flag", T.StringType(), {"enum": ("GOOD", "BAD", "UNCERTAIN")})),
+    "v2": _version(
+        _ID, ("value", T.LongType(), {"nullable": True}), ("flag", T.StringType(), {"enum": ("GOOD", "BAD")}),
+        ("unit", T.StringType(), {}),
+    ),
+    "v3": _version(_ID, ("value", T.StringType(), {}), ("unit", T.StringType(), {})),
+    "v4": _version(
+        _ID, ("value", T.DoubleType(), {"nullable": True}), ("unit", T.StringType(), {"default": "none"}),
+        ("flag", T.StringType(), {"enum": ("GOOD", "BAD", "UNKNOWN"), "default": "GOOD"}),
+    ),
+}
+
+
+@query(
+    "read_versions",
+    sql(
+        """SELECT event_id, 'v' || (event_id % 4 + 1) AS version,
+             CASE event_id % 4 WHEN 0 THEN CAST(floor(value) AS DOUBLE)
+               WHEN 1 THEN CASE WHEN event_id % 3 > 0 THEN CAST(floor(value) AS DOUBLE) END
+               ELSE value END AS value,
+             CASE event_id % 4 WHEN 0 THEN 'none' ELSE unit END AS unit,
+             CASE WHEN quality_flag <> 'UNCERTAIN' THEN quality_flag
+               WHEN event_id % 4 = 1 THEN 'GOOD' ELSE 'UNKNOWN' END AS flag,
+             CAST(NULL AS VARCHAR) AS rejected
+           FROM readings WHERE event_id % 4 <> 2
+           UNION ALL SELECT NULL, 'v3', NULL, NULL, NULL, 'type:value:string->double'""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Readings written in turns under four versions of a contract and read by the newest one; the
+    third version does not resolve and comes out as one row with its reason."""
+    base = scratch_dir(v.spark, "versions")
+    flag, odd = F.col("quality_flag"), F.col("event_id") % 3 == 0
+    whole = F.floor("value")
+    written = {
+        "v1": {"value": whole.cast("int"), "flag": flag},
+        "v2": {"value": F.when(~odd, whole), "flag": F.when(flag != "UNCERTAIN", flag), "unit": F.col("unit")},
+        "v3": {"value": F.col("value").cast("string"), "unit": F.col("unit")},
+        "v4": {"value": F.col("value"), "unit": F.col("unit"), "flag": F.when(flag == "UNCERTAIN", "UNKNOWN").otherwise(flag)},
+    }
+    files = {}
+    for k, (name, columns) in enumerate(written.items()):
+        rows = v.readings.filter(F.col("event_id") % 4 == k)
+        rows.select("event_id", *[c.alias(n) for n, c in columns.items()]).write.parquet(f"{base}/{name}")
+        files[name] = (VERSIONS[name], [f"{base}/{name}"])
+    found, rejected = evolution.read_versions(v.spark, files, VERSIONS["v4"], {"flag": "UNKNOWN"})
+    reasons = [(name, "; ".join(r)) for name, r in rejected.items()]
+    refused = v.spark.createDataFrame(reasons, "version string, rejected string")
+    return found.unionByName(refused, allowMissingColumns=True)
+
+
 @query(
     "merged_records",
     sql("""SELECT platform_id, reading_id, true AS in_whole_batch FROM readings""", "readings"),
