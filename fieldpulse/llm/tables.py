@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.session import scratch_dir
+from fieldpulse.session import file_system, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table that ``written`` gave, once no frame reads it any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        store, folder = file_system(spark, files[0].rsplit("/", 1)[0])
+        store.delete(folder, True)
+
+
 def unused(columns: list[str], name: str) -> str:
     """``name``, or the first of it with underscores behind that is no column yet."""
     taken = {c.lower() for c in columns}

@@ -19,10 +19,9 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.tables import table, written
+from fieldpulse.llm.tables import dropped, table, written
 
 DAMPING = 0.85
-ROUNDS = 20  # of the SQL
 MOST_ROUNDS = 2000  # far more than any graph takes: the change falls by the damping each round
 LIMIT = 0.5
 CLOSE = 1e-12
@@ -109,6 +108,7 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     state = seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
     if edges.isEmpty():
         return state
+    read = None  # the table of the round before
     for _ in range(rounds):
         sent = (
             edges.join(state, edges.src == state.host)
@@ -133,9 +133,11 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
             )
         )
         new = written(new, "trust")
+        if read is not None:
+            dropped(read)  # only ``new`` still reads from here on
         change = F.expr("greatest(abs(trust - was_t) / greatest(trust, 1), abs(distrust - was_d) / greatest(distrust, 1))")
         moved = new.agg(F.max(change)).first()[0]
-        state = new.select("host", "trust", "distrust")
+        read, state = new, new.select("host", "trust", "distrust")
         if moved is None or moved <= CLOSE:
             return state
     raise RuntimeError(f"trust still moves by {moved} after {rounds} rounds")
@@ -170,24 +172,18 @@ def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _sql(rules=RULES, rounds: int = ROUNDS) -> str:
+def _sql(rules=RULES) -> str:
+    """The statement goes on to the same fixed point, round by round, in a recursive table.
+
+    A round carries the greatest change of all hosts with it, which ends the recursion."""
     order = sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "block"), reverse=True)
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in order)
     kind = " ".join(f"WHEN {fits(h, p)} THEN '{k}'" for k, h, p in order)
     lower = lambda x: f"translate(regexp_extract({x}, '{_HOST}'), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
     link = _LINK.replace("'", "''")
-    steps = ", ".join(
-        f"""s{k + 1} AS MATERIALIZED (SELECT n.host,
-            n.allowed + {DAMPING} * coalesce((SELECT sum(s.trust * e.links / e.of_src)
-                FROM edges e JOIN s{k} s ON s.host = e.src WHERE e.dst = n.host), 0) AS trust,
-            n.blocked + {DAMPING} * coalesce((SELECT sum(s.distrust * e.links / e.of_dst)
-                FROM edges e JOIN s{k} s ON s.host = e.dst WHERE e.src = n.host), 0) AS distrust
-            FROM nodes n)"""
-        for k in range(rounds)
-    )
     return f"""
-WITH cut AS (SELECT page_id, html,
+WITH RECURSIVE cut AS (SELECT page_id, html,
     CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 placed AS (SELECT page_id, html, {lower("rest")} AS host,
     regexp_extract(substr(rest, length(regexp_extract(rest, '{_HOST}')) + 1), '{_PATH}') AS path FROM cut),
@@ -202,10 +198,23 @@ own AS (SELECT host, avg(CASE kind WHEN 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS
     avg(CASE kind WHEN 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked FROM m WHERE host <> '' GROUP BY host),
 nodes AS (SELECT * FROM own UNION ALL
     SELECT DISTINCT dst, 0.0::DOUBLE, 0.0::DOUBLE FROM edges WHERE dst NOT IN (SELECT host FROM own)),
-s0 AS (SELECT host, allowed AS trust, blocked AS distrust FROM nodes), {steps}
+spreads AS (
+    SELECT 0 AS step, host, allowed AS trust, blocked AS distrust, 1.0::DOUBLE AS moved FROM nodes
+    UNION ALL
+    SELECT step + 1, host, trust, distrust, max(greatest(abs(trust - was_t) / greatest(trust, 1.0),
+        abs(distrust - was_d) / greatest(distrust, 1.0))) OVER ()
+    FROM (SELECT p.step, n.host, n.allowed + {DAMPING} * coalesce(a.t, 0) AS trust,
+            n.blocked + {DAMPING} * coalesce(z.d, 0) AS distrust, p.trust AS was_t, p.distrust AS was_d
+        FROM spreads p JOIN nodes n ON n.host = p.host
+        LEFT JOIN (SELECT e.dst AS host, sum(s.trust * e.links / e.of_src) AS t
+            FROM edges e JOIN spreads s ON s.host = e.src GROUP BY e.dst) a ON a.host = n.host
+        LEFT JOIN (SELECT e.src AS host, sum(s.distrust * e.links / e.of_dst) AS d
+            FROM edges e JOIN spreads s ON s.host = e.dst GROUP BY e.src) z ON z.host = n.host
+        WHERE p.moved > {CLOSE})),
+fixed AS (SELECT host, trust, distrust FROM spreads WHERE step = (SELECT max(step) FROM spreads))
 SELECT m.page_id, m.host, m.path, m.rule, coalesce(m.kind, CASE WHEN round(s.distrust, 9) >= {LIMIT}
     AND round(s.distrust, 9) > round(s.trust, 9) THEN 'block' ELSE 'allow' END) AS verdict
-FROM m LEFT JOIN s{rounds} s ON s.host = m.host
+FROM m LEFT JOIN fixed s ON s.host = m.host
 """
 
 

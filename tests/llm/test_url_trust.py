@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import glob
+
 import duckdb
 import pytest
 
@@ -66,17 +68,45 @@ def brute(rows, rules, rounds):
     return sorted(out, key=repr)
 
 
+def in_duckdb(rows, rules):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [r[:3] for r in rows])
+    return sorted(con.execute(ut._sql(rules)).fetchall(), key=repr)
+
+
 def test_matches_brute_force_and_sql(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     got = ut.judged(df, RULES).select("page_id", "host", "path", "rule", "verdict").collect()
     got = sorted((tuple(r) for r in got), key=repr)
-    assert got == brute(ROWS, RULES, ut.ROUNDS)
+    assert got == brute(ROWS, RULES, 400)
     by = {r[0]: r[4] for r in got}
     assert by[4] == by[5] == "block" and by[6] == by[8] == by[11] == "allow"
-    con = duckdb.connect()
-    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
-    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [r[:3] for r in ROWS])
-    assert sorted(con.execute(ut._sql(RULES)).fetchall(), key=repr) == got
+    assert in_duckdb(ROWS, RULES) == got
+
+
+RING = [page(i, f"http://one.ring/{'bad/' if i == 20 else ''}{i}", "http://two.ring/") for i in range(20, 26)]
+RING += [page(30, "http://two.ring/", "http://one.ring/"), page(31, "http://two.ring/x")]
+
+
+def test_a_ring_ends_just_above_the_limit(spark):
+    """One page of six blocked: after 20 rounds the second host is still below the limit."""
+    rules = [("block", "one.ring", "/bad/")]
+    got = ut.judged(spark.createDataFrame(RING, SCHEMA), rules).select("page_id", "host", "path", "rule", "verdict")
+    got = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert got == brute(RING, rules, 400) == in_duckdb(RING, rules)
+    assert {r[0]: r[4] for r in got}[31] == "block"
+    assert {r[0]: r[4] for r in brute(RING, rules, 20)}[31] == "allow"
+
+
+def test_rounds_already_read_are_dropped(spark):
+    seeds = spark.createDataFrame([("a", 0.5, 0.25), ("b", 0.0, 0.0)], "host string, allowed double, blocked double")
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 3)], "src string, dst string, links long")
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    tables = lambda: {p for p in glob.glob(f"{root}/**/trust-*", recursive=True)}
+    before = tables()
+    ut.spread(seeds, links, damping=0.3).collect()
+    assert len(tables() - before) == 1
 
 
 def test_cycles_reach_the_fixed_point(spark):
