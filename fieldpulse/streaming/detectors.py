@@ -138,10 +138,12 @@ def stream_detect_all(
 class RepeatState(StatefulProcessor):
     """Lets an alert through after a quiet gap, or a fixed time after the last one let through."""
 
-    def __init__(self, window_us: int, mode: str, columns: list[str], tie: str) -> None:
+    def __init__(self, window_us: int, mode: str, columns: list[str], tie: str, expires: bool = False) -> None:
         self.window_us, self.mode, self.columns, self.tie = window_us, mode, columns, tie
+        self.expires = expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState(
             "last", T.StructType([T.StructField("us", T.LongType())])
         )
@@ -151,7 +153,7 @@ class RepeatState(StatefulProcessor):
             ["at_us", self.tie], kind="stable", ignore_index=True
         )
         times = pdf["at_us"].to_numpy("int64")
-        last = int(self.state.get()[0]) if self.state.exists() else None
+        last = before = int(self.state.get()[0]) if self.state.exists() else None
         if self.mode == "quiet_gap":
             first_ok = last is None or times[0] - last > self.window_us
             chosen = np.flatnonzero(np.concatenate([[first_ok], np.diff(times) > self.window_us]))
@@ -164,8 +166,20 @@ class RepeatState(StatefulProcessor):
                 last = int(times[at])
                 at = int(np.searchsorted(times, last + self.window_us, "right"))
         self.state.update((last,))
+        if self.expires and last != before:
+            if before is not None:
+                self.handle.deleteTimer(self._over_ms(before))
+            self.handle.registerTimer(self._over_ms(last))
         yield pdf.iloc[chosen][self.columns]
 
+    def _over_ms(self, last: int) -> int:
+        """From here on the state changes no result: any alert is let through."""
+        return (last + self.window_us) // 1000 + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
@@ -177,13 +191,20 @@ def stream_dedup_alerts(
     mode: str = "quiet_gap",
     ts: str = "detected_at",
     tie: str = "alert_id",
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Alert de-duplication on a stream, by explicit times held in state."""
+    """Alert de-duplication on a stream, by explicit times held in state.
+
+    With ``lateness`` alerts later than that are dropped, and a key leaves the state once the
+    watermark has passed its window; without, all keys ever seen stay.
+    """
     use_rocksdb(alerts.sparkSession)
+    if lateness is not None:
+        alerts = alerts.withWatermark(ts, lateness)
     keyed = alerts.withColumn("at_us", F.unix_micros(ts))
-    processor = RepeatState(seconds_of(window) * 1_000_000, mode, alerts.columns, tie)
+    processor = RepeatState(seconds_of(window) * 1_000_000, mode, alerts.columns, tie, lateness is not None)
     return keyed.groupBy(*keys).transformWithStateInPandas(
-        processor, alerts.schema, "append", "none"
+        processor, alerts.schema, "append", "none" if lateness is None else "eventTime"
     )
 
 
