@@ -43,7 +43,7 @@ from fieldpulse.plans.views import (
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources import contracts, evolution, publish, readers, reference, sinks
 from fieldpulse.streaming import detectors as stream_detectors
-from fieldpulse.streaming import compacted, jobs, merging
+from fieldpulse.streaming import compacted, jobs, merging, timers
 
 Query = Callable[[Views], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -1916,3 +1916,94 @@ def _(v: Views) -> DataFrame:
     )
     kept = stream_detectors.stream_dedup_alerts(stream, ("sensor_id",), "24 hours")
     return jobs.drain(v.spark, kept, "stream-dedup")
+
+
+def _arriving(v: Views, rows: DataFrame, ts: str, id_col: str, purpose: str) -> DataFrame:
+    """``rows`` landed week by week, a fifth of them each 0, 4, ... 16 hours late, as a stream.
+
+    Files of one week may come in any order, so a stream needs a lateness of 8 days to lose none.
+    """
+    path = f"{scratch_dir(v.spark, purpose)}/landed"
+    second = F.unix_seconds(ts)
+    delay = F.pmod(F.xxhash64(id_col), F.lit(5)) * 4 * 3600
+    ends = rows.agg(F.min(second).alias("low"), F.max(second + delay).alias("high")).first()
+    low, high = (ends.low, ends.high) if ends.low is not None else (0, 0)
+    week = F.floor((second + delay - F.lit(low)) / (7 * 86400))
+    for i in range((high - low) // (7 * 86400) + 1):  # in turn, as the source goes by age
+        rows.filter(week == i).write.mode("append").parquet(path)
+    stream = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3)
+    return stream.parquet(path)
+
+
+LATENESS = "9 days"
+HORIZON = """(SELECT date_trunc('millisecond', max("time")) - INTERVAL '9 days' FROM readings)"""
+EPISODES = """
+    SELECT sensor_id, min("time") AS since, max("time") AS last, max_by(later, "time") AS later
+    FROM (SELECT *, sum(starts) OVER (PARTITION BY sensor_id ORDER BY "time") AS run
+          FROM (SELECT *, lead("time") OVER w AS later, CASE WHEN held AND lag(held) OVER w
+                    AND "time" <= lag("time") OVER w + INTERVAL '1 day' THEN 0 ELSE 1 END AS starts
+                FROM (SELECT sensor_id, "time", bool_and(coalesce(value > 20, false)) AS held
+                      FROM readings GROUP BY ALL)
+                WINDOW w AS (PARTITION BY sensor_id ORDER BY "time")))
+    WHERE held GROUP BY sensor_id, run"""
+
+
+@query(
+    "stream_episodes",
+    sql(
+        f"""SELECT * FROM (WITH ended AS (SELECT *, least(coalesce(later, last + INTERVAL '1 day'), last + INTERVAL '1 day') AS until,
+                CASE WHEN later <= last + INTERVAL '1 day' THEN 'sample' ELSE 'silence' END AS closed_by
+              FROM ({EPISODES}))
+            SELECT sensor_id, 'firing' AS event, since, since + INTERVAL '12 hours' AS "at", NULL AS closed_by
+            FROM ended WHERE until - since >= INTERVAL '12 hours' AND since + INTERVAL '12 hours' < {HORIZON}
+            UNION ALL
+            SELECT sensor_id, 'resolved', since, until, closed_by
+            FROM ended WHERE until - since >= INTERVAL '12 hours' AND until < {HORIZON})""",
+        "readings",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Sensors above a limit for half a day, and when that ended, by a reading or a day of silence.
+
+    Events before the watermark at the end of the stream."""
+    rows = v.readings.select("sensor_id", "time", "value", "reading_id")
+    stream = _arriving(v, rows, "time", "reading_id", "stream-episodes")
+    found = timers.stream_episodes(stream, F.col("value") > 20, "12 hours", "1 day", LATENESS, ("sensor_id",), "time")
+    return jobs.drain(v.spark, found, "stream-episodes")
+
+
+@query(
+    "stream_notifications",
+    sql(
+        """SELECT * FROM (WITH starting AS (SELECT anomaly_type AS alertname, severity, detected_at,
+                CASE WHEN detected_at <= lag(detected_at) OVER (PARTITION BY anomaly_type, severity
+                  ORDER BY detected_at) + INTERVAL '6 hours' THEN 0 ELSE 1 END AS starts FROM alerts),
+              numbered AS (SELECT *, sum(starts) OVER (PARTITION BY alertname, severity
+                  ORDER BY detected_at) AS session FROM starting),
+              placed AS (SELECT *, min(detected_at) OVER s AS session_start, max(detected_at) OVER s AS session_end
+                FROM numbered WINDOW s AS (PARTITION BY alertname, severity, session)),
+              slotted AS (SELECT *, CAST(floor((epoch_us(detected_at) - epoch_us(session_start)) / 43200e6) AS BIGINT)
+                  AS slot FROM placed),
+              timed AS (SELECT *, min(detected_at) OVER (PARTITION BY alertname, severity, session, slot)
+                  + INTERVAL '1 hour' AS due FROM slotted),
+              events AS (
+                SELECT alertname, severity, 'notified' AS event, session_start, slot, due AS "at",
+                  count(*) FILTER (WHERE detected_at <= due) AS alerts FROM timed
+                GROUP BY alertname, severity, session_start, slot, due
+                UNION ALL
+                SELECT alertname, severity, 'resolved', session_start, NULL, session_end + INTERVAL '6 hours', count(*)
+                FROM timed GROUP BY alertname, severity, session_start, session_end)
+            SELECT * FROM events
+            WHERE "at" < (SELECT date_trunc('millisecond', max(detected_at)) - INTERVAL '9 days' FROM alerts))""",
+        "alerts",
+    ),
+)
+def _(v: Views) -> DataFrame:
+    """Alerts of a stream grouped by kind and severity: one notification an hour after the first alert
+    of each half day, and the end of a session after six quiet hours."""
+    rows = v.alerts.select(F.col("anomaly_type").alias("alertname"), "severity", "detected_at", "alert_id")
+    stream = _arriving(v, rows, "detected_at", "alert_id", "stream-notifications")
+    found = timers.stream_notifications(
+        stream, ("alertname", "severity"), "12 hours", "6 hours", "1 hour", LATENESS, "detected_at"
+    )
+    return jobs.drain(v.spark, found, "stream-notifications")
