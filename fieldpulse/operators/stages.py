@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 STAGE_ERROR = "stage_error"
+LIKELY = 2  # failing records expected in a part from which on it is not tried as a whole
 _ADDED = T.StructType([T.StructField("error_reason", T.StringType()), T.StructField("error_text", T.StringType())])
 
 RecordFunction = Callable[[pd.DataFrame, Mapping[str, object]], pd.DataFrame]
@@ -69,14 +70,34 @@ def settings(properties: Sequence[Property], given: Mapping[str, object]) -> dic
     return found
 
 
-def _applied(fn: RecordFunction, rows: pa.RecordBatch, config: dict, added: pa.Schema) -> list[pa.Array]:
+def _applied(fn: RecordFunction, rows: pd.DataFrame, config: dict, added: pa.Schema) -> list[pa.Array]:
     """The function's columns for these rows, in their declared types."""
-    result = fn(rows.to_pandas(), config)
-    if len(result) != rows.num_rows:
-        raise ValueError(f"{len(result)} rows returned for {rows.num_rows}")
+    n = len(rows)
+    result = fn(rows, config)
+    if len(result) != n:
+        raise ValueError(f"{len(result)} rows returned for {n}")
     return [pa.Array.from_pandas(result[f.name], type=f.type) for f in added]
 
 
+def _frames(rows: pa.RecordBatch) -> Callable[[int, int], pd.DataFrame]:
+    """Rows from one place to another as a frame of their own, as if converted alone.
+
+    Where no type depends on which rows are converted together, all are converted once.
+    """
+    for column in rows.columns:
+        counted = pa.types.is_integer(column.type) or pa.types.is_boolean(column.type)
+        if pa.types.is_nested(column.type) or (counted and column.null_count):
+            return lambda start, stop: rows.slice(start, stop - start).to_pandas()
+    whole = rows.to_pandas()
+
+    def part(start: int, stop: int) -> pd.DataFrame:
+        own = whole.iloc[start:stop].copy()  # the function may write into it
+        own.index = pd.RangeIndex(stop - start)
+        return own
+
+    return part
+
+
 def isolated(
     fn: RecordFunction,
     adds: str | T.StructType,
@@ -88,7 +109,9 @@ def isolated(
     ``fn`` takes a pandas frame of any number of records and the settings, and gives the columns
     ``adds`` for them, in their order; records are independent of each other. Where it raises, or
     its result does not fit, the batch is halved until the records that fail stand alone, so k bad
-    records of n cost about k·log n calls. They come out with null columns, ``error_reason``
+    records of n cost about k·log n calls. Once one has failed, a part is halved without a call if it
+    is bound to fail, as the half before it passed, or likely to, by the share of failing records so
+    far. Failing records have null columns, ``error_reason``
     "stage_error" and the error as ``error_text``; all others are as if the bad ones were not there.
     """
     config = settings(properties, given or {})
@@ -101,27 +124,43 @@ def isolated(
         schema = T.StructType([*df.schema.fields, *new.fields, *_ADDED.fields])
         added = to_arrow_schema(new)
 
-        def parts(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            todo = [rows] if rows.num_rows else []
+        def judged(rows: pa.RecordBatch) -> pa.RecordBatch:
+            frame = _frames(rows)
+            found: list[list[pa.Array]] = []
+            reasons, texts = [None] * rows.num_rows, [None] * rows.num_rows
+            failures = 0
+            # Parts in their order: from, to, whether the other half of a failed part follows, and
+            # whether the part is bound to fail, as the half before it passed.
+            todo = [(0, rows.num_rows, False, False)]
             while todo:
-                part = todo.pop()
-                reason = text = None
-                try:
-                    columns = _applied(fn, part, config, added)
-                except Exception as e:  # whatever a user's function raises
-                    if part.num_rows > 1:
-                        half = part.num_rows // 2
-                        todo += [part.slice(half), part.slice(0, half)]
-                        continue
-                    columns = [pa.nulls(1, f.type) for f in added]
-                    reason, text = STAGE_ERROR, f"{type(e).__name__}: {e}"
-                marks = [pa.array([x] * part.num_rows, pa.string()) for x in (reason, text)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns, *marks], names=schema.fieldNames())
-
-        def all_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                start, stop, followed, bound = todo.pop()
+                single = stop - start == 1
+                columns = None
+                likely = failures * (stop - start) > LIKELY * start  # by the rows before, all judged
+                if single or not (likely or (bound and failures)):
+                    try:
+                        columns = _applied(fn, frame(start, stop), config, added)
+                    except Exception as e:  # whatever a user's function raises
+                        if single:
+                            columns = [pa.nulls(1, f.type) for f in added]
+                            reasons[start], texts[start] = STAGE_ERROR, f"{type(e).__name__}: {e}"
+                            failures, followed = failures + 1, False
+                if columns is None:
+                    half = (start + stop) // 2
+                    todo += [(half, stop, False, False), (start, half, True, False)]
+                    continue
+                found.append(columns)
+                if followed:
+                    todo.append((*todo.pop()[:3], True))
+            new_columns = [pa.concat_arrays(pieces) for pieces in zip(*found, strict=True)]
+            marks = [pa.array(x, pa.string()) for x in (reasons, texts)]
+            return pa.RecordBatch.from_arrays([*rows.columns, *new_columns, *marks], names=schema.fieldNames())
+
+        def all_judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield from parts(batch)
+                if batch.num_rows:
+                    yield judged(batch)
 
-        return df.mapInArrow(all_parts, schema)
+        return df.mapInArrow(all_judged, schema)
 
     return run

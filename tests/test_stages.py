@@ -78,3 +78,39 @@ def test_wrong_results_empty_frames_and_clashes(spark):
     assert short(spark.range(0)).collect() == []
     with pytest.raises(ValueError, match="there already"):
         isolated(ratio_of(), "id int")(spark.range(1))
+
+
+def test_many_bad_records_cost_few_calls_and_rows_in_one_piece(spark, tmp_path):
+    """Every 16th record fails: by plain halving 10 calls a bad record, and one output batch a part."""
+    place = str(tmp_path / "calls")
+
+    def counted(pdf, config):
+        with open(place, "a") as f:
+            f.write("x")
+        pdf["id"] += 1  # a frame of its own: nobody else sees this
+        if (pdf["id"] % 16 == 0).any() or list(pdf.index) != list(range(len(pdf))):
+            raise ValueError(int(pdf["id"].iloc[0]))
+        return pd.DataFrame({"y": pdf["id"]})
+
+    result = isolated(counted, "y bigint")(spark.range(0, 1024, 1, 1))
+    pieces = result.mapInArrow(lambda batches: batches, result.schema)
+    rows = pieces.collect()
+    bad = [n for n in range(1024) if n % 16 == 15]
+    assert [r.id for r in rows] == list(range(1024))
+    assert [r.id for r in rows if r.error_reason] == bad
+    assert all(r.error_text == f"ValueError: {r.id + 1}" if r.id in bad else r.y == r.id + 1 for r in rows)
+    assert len(open(place).read()) < 8 * len(bad)
+
+
+def test_types_of_a_part_are_its_own(spark):
+    """A null elsewhere in the batch neither makes a whole number a float nor loses its last digit."""
+    big = 2**53 + 1
+
+    def exact(pdf, config):
+        if pdf["n"].isna().any():
+            raise ValueError("null")
+        return pd.DataFrame({"y": pdf["n"]})
+
+    df = spark.createDataFrame([(big,), (None,), (big + 2,), (7,)], "n bigint").coalesce(1)
+    rows = isolated(exact, "y bigint")(df).collect()
+    assert [r.y for r in rows] == [big, None, big + 2, 7]
