@@ -59,13 +59,20 @@ class FlowConfig:
     archive_layout: str = "full"
 
 
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
+    place = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def stage(
-    fn: Callable[..., DataFrame], config: object | None = None, name: str | None = None
+    fn: Callable[..., DataFrame], config: object | None = None, name: str | None = None, stored: bool = False
 ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     """A user-supplied transform as a stage with a success and a failure output.
 
     ``fn(df)`` or ``fn(df, config)`` returns a frame; rows it marks with an ``error_reason``
-    leave through the failure output under the stage's name.
+    leave through the failure output under the stage's name. With ``stored`` the result is written
+    to the shared scratch folder first, so that ``fn`` runs once per row and not once per output.
     """
     label = name or fn.__name__
 
@@ -73,6 +80,8 @@ def stage(
         result = fn(df) if config is None else fn(df, config)
         if "error_reason" not in result.columns:
             return result, result.filter(F.lit(False))
+        if stored:
+            result = _staged(result, f"stage-{label}")
         failed = result.filter(F.col("error_reason").isNotNull())
         passed = result.filter(F.col("error_reason").isNull()).drop("error_reason", "error_text")
         return passed, failed.withColumn("stage", F.lit(label))
@@ -217,21 +226,16 @@ def run_batch(
     attempt = publish.begin(spark, out, run_id)
     paths = {n: attempt.path(n) for n in OUTPUTS}
 
-    def staged(df: DataFrame, purpose: str) -> DataFrame:
-        place = scratch_dir(spark, purpose)
-        df.write.parquet(place)
-        return spark.read.schema(df.schema).parquet(place)
-
-    stages = Stages(staged(with_parsed(raw), "flow-parsed"), dims, config)
+    stages = Stages(_staged(with_parsed(raw), "flow-parsed"), dims, config)
     write_readings(stages.gated, paths["readings"])
     archive_json(stages.enriched, paths["archive"], layout=config.archive_layout)
-    alerts = staged(stages.routed(detect_all(stages.gated, config.detectors)), "flow-alerts")
+    alerts = _staged(stages.routed(detect_all(stages.gated, config.detectors)), "flow-alerts")
     events = compliance_events(alerts)
     write_alerts(alerts, paths["alerts"])
     events.withColumn("date", F.to_date("detected_at")).write.mode("append").partitionBy("date").parquet(
         paths["compliance"]
     )
-    dead = staged(stages.dead_letters, "flow-dead")
+    dead = _staged(stages.dead_letters, "flow-dead")
     write_dlq(dead, paths["dlq"])
     for records in (
         to_keyed_records(stages.parsed.select("body"), [F.lit("raw")], TOPICS["raw"]),

@@ -114,3 +114,18 @@ def test_types_of_a_part_are_its_own(spark):
     df = spark.createDataFrame([(big,), (None,), (big + 2,), (7,)], "n bigint").coalesce(1)
     rows = isolated(exact, "y bigint")(df).collect()
     assert [r.y for r in rows] == [big, None, big + 2, 7]
+
+
+def test_a_stored_stage_runs_its_function_once_per_row(spark, tmp_path):
+    place = str(tmp_path / "rows")
+
+    def odd(pdf, config):
+        with open(place, "a") as f:
+            f.write("x" * len(pdf))
+        return pd.DataFrame({"y": ["no number" if n % 2 and len(pdf) == 1 else 1 for n in pdf["id"]]})
+
+    run = stage(isolated(odd, "y int"), name="odd", stored=True)
+    passed, failed = run(spark.range(0, 4, 1, 4))
+    assert passed.unionByName(failed, allowMissingColumns=True).count() == 4
+    assert (passed.count(), failed.count()) == (2, 2)
+    assert len(open(place).read()) == 4
