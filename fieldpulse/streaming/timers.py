@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ def _longs(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.LongType()) for name in names]
 
 
-_ENTRY = T.StructType([*_longs("us", "n"), T.StructField("held", T.BooleanType())])
+_ENTRIES = T.StructType([T.StructField("packed", T.BinaryType())])
+_PACKED = 50_000  # entries in one value of the state, 1.2 MB
 _TIMER = T.StructType(_longs("due_ms"))
 _NOTICE = T.StructType(_longs("slot", "first", "n"))
 
@@ -46,6 +48,20 @@ def merged_entries(entries: list[tuple[int, int, bool]]) -> list[tuple[int, int,
     return out
 
 
+def packed(entries: list[tuple[int, int, bool]]) -> list[tuple[bytes]]:
+    """Entries as few values of the state: each value costs calls and conversions of its own."""
+    pieces = (entries[at : at + _PACKED] for at in range(0, len(entries), _PACKED))
+    return [(np.array(piece, dtype="<i8").tobytes(),) for piece in pieces]
+
+
+def unpacked(values: Iterator[tuple[bytes]]) -> list[tuple[int, int, bool]]:
+    out: list[tuple[int, int, bool]] = []
+    for (piece,) in values:
+        us, n, held = np.frombuffer(bytes(piece), dtype="<i8").reshape(-1, 3).T
+        out += zip(us.tolist(), n.tolist(), held.astype(bool).tolist(), strict=True)
+    return out
+
+
 class OrderedState(StatefulProcessor):
     """Hands the rows of a series on in order of time, once the watermark has passed them.
 
@@ -62,7 +78,7 @@ class OrderedState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _ENTRY)
+        self.waiting = handle.getListState("waiting", _ENTRIES)
         self.state = handle.getValueState("state", self.SCHEMA)
         self.timer = handle.getValueState("timer", _TIMER)
 
@@ -78,10 +94,10 @@ class OrderedState(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         entries: list[tuple[int, int, bool]] = []
         for piece in rows:
-            by = piece.groupby("at_us")["held"].agg(["size", "min"])
-            entries += zip(by.index.tolist(), by["size"].tolist(), by["min"].astype(bool).tolist(), strict=True)
+            held = piece["held"].astype(bool).tolist()
+            entries += zip(piece["at_us"].tolist(), [1] * len(held), held, strict=True)
         entries = merged_entries(entries)
-        self.waiting.appendList(entries)
+        self.waiting.appendList(packed(entries))
         due, set_for = entries[0][0] // 1000, self.timer.get()[0] if self.timer.exists() else None
         if set_for is None or due < set_for:
             if set_for is not None:
@@ -92,7 +108,7 @@ class OrderedState(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         horizon = timerValues.getCurrentWatermarkInMs() * 1000
-        entries = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        entries = unpacked(self.waiting.get()) if self.waiting.exists() else []
         later = [e for e in entries if e[0] >= horizon]
         state = self.state.get() if self.state.exists() else None
         events: list[tuple] = []
@@ -105,7 +121,7 @@ class OrderedState(StatefulProcessor):
         else:
             self.state.update(state)
         if later:
-            self.waiting.put(later)
+            self.waiting.put(packed(later))
         else:
             self.waiting.clear()
         nexts = [min(e[0] for e in later)] if later else []
@@ -117,11 +133,11 @@ class OrderedState(StatefulProcessor):
         else:
             self.timer.clear()
         if events:
-            out = pd.DataFrame([list(key)] * len(events), columns=self.series)
-            for i, name in enumerate(self.OUT):
-                values = [e[i] for e in events]
-                out[name] = values if name in ("event", "closed_by") else pd.array(values, dtype="Int64")
-            yield out
+            columns = {name: [value] * len(events) for name, value in zip(self.series, key, strict=True)}
+            for name, values in zip(self.OUT, zip(*events, strict=True), strict=True):
+                texts = name in ("event", "closed_by")
+                columns[name] = list(values) if texts else pd.array(values, dtype="Int64")
+            yield pd.DataFrame(columns)
 
     def close(self) -> None:
         pass

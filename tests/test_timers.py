@@ -8,6 +8,9 @@ import pytest
 from conftest import EPOCH, at
 from pyspark.sql import functions as F
 
+from fieldpulse.plans import catalog
+from fieldpulse.plans.views import load
+from fieldpulse.session import scratch_dir
 from fieldpulse.streaming import detectors, jobs, timers
 
 
@@ -137,3 +140,26 @@ def test_expired_keys_change_no_result(spark, tmp_path, mode):
     got, states = run(detectors.stream_dedup_alerts(stream, **args, lateness="1 minute"), tmp_path / "expiring")
     assert sorted(got) == sorted(kept) and len(got) < 101
     assert states[-1] <= 5 < 9 < max(states)
+
+
+def test_waiting_entries_are_few_values_and_come_back():
+    entries = [(10**15 + k, k % 3 + 1, k % 2 == 0) for k in range(120_001)]
+    values = timers.packed(entries)
+    assert len(values) == 3 and timers.unpacked(iter(values)) == entries
+    assert timers.packed([]) == [] and timers.unpacked(iter([])) == []
+
+
+def test_micro_batches_do_not_grow_in_number_with_the_landed_files(spark):
+    """Five weeks written by 1 or by 12 tasks each make the same two micro-batches."""
+    views = load(spark, "unused")
+    start = F.unix_seconds(F.lit(EPOCH)) + F.col("id") * 3600
+    rows = spark.range(0, 24 * 33).select(F.timestamp_seconds(start).alias("time"), F.col("id").cast("string").alias("reading_id"))
+    batches = []
+    for tasks in (1, 12):
+        stream = catalog._arriving(views, rows.repartition(tasks, "reading_id"), "time", "reading_id", "t-arriving")
+        base = scratch_dir(spark, "t-arrived")
+        job = jobs.start_file_sink(stream, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True})
+        job.awaitTermination()
+        batches.append(sum(p["numInputRows"] > 0 for p in job.recentProgress))
+        assert spark.read.parquet(f"{base}/out").count() == rows.count()
+    assert batches == [2, 2]
