@@ -27,6 +27,10 @@ from fieldpulse.operators.detect import alerts_of_history, results_of
 from fieldpulse.session import ROCKSDB_PROVIDER
 
 
+# Columns of a reading that its alerts show.
+ALERT_SOURCE = ("time", "reading_id", "platform_id", "sensor_id", "sensor_type", "value", "unit")
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """State stores that spill to disk and checkpoint changes only."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -70,6 +74,14 @@ def rolling(values: np.ndarray, start: int, size: int) -> tuple[np.ndarray, np.n
     return counts, means, stds
 
 
+def in_order(pieces: list[pd.DataFrame], tie: str) -> pd.DataFrame:
+    """Rows by ``at_us``, those of one instant by ``tie``; most arrive so and are not moved."""
+    pdf = pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+    if (np.diff(pdf["at_us"].to_numpy("int64")) > 0).all():
+        return pdf
+    return pdf.sort_values(["at_us", tie], kind="stable", ignore_index=True)
+
+
 class SeriesState(StatefulProcessor):
     """Appends each row's baseline statistics and previous reading."""
 
@@ -80,9 +92,7 @@ class SeriesState(StatefulProcessor):
         self.state = handle.getValueState("series", SERIES_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            ["at_us", self.tie], kind="stable", ignore_index=True
-        )
+        pdf = in_order(list(rows), self.tie)
         held, last_us = [], None
         if self.state.exists():
             stored = self.state.get()
@@ -90,13 +100,23 @@ class SeriesState(StatefulProcessor):
         start = len(held)
         values = np.concatenate([np.array(held, dtype="float64"), pdf["value"].to_numpy("float64")])
         counts, means, stds = rolling(values, start, self.window_size)
-        out = pdf[self.columns].copy()
-        out["_n"], out["_mean"], out["_std"] = counts.astype("int64"), means, stds
         times = pdf["at_us"].to_numpy("int64")
-        before = pd.array([last_us, *times[:-1]], dtype="Int64")
-        out["_seen"] = pd.array(np.where(before.isna(), None, 1), dtype="Int32")
-        out["_prev_value"] = np.concatenate([[values[start - 1] if start else np.nan], values[start:-1]])
-        out["_prev_us"] = before
+        # The first row of a series has nothing before it.
+        first = np.zeros(len(times), dtype=bool)
+        first[0] = last_us is None
+        before = np.concatenate([[last_us or 0], times[:-1]]).astype("int64")
+        # One frame from finished columns: adding them one by one costs more than all the rest.
+        out = pd.DataFrame(
+            {
+                **{name: pdf[name] for name in self.columns},
+                "_n": counts.astype("int64"),
+                "_mean": means,
+                "_std": stds,
+                "_seen": pd.arrays.IntegerArray(np.ones(len(times), dtype="int32"), first),
+                "_prev_value": np.concatenate([[values[start - 1] if start else np.nan], values[start:-1]]),
+                "_prev_us": pd.arrays.IntegerArray(before, first.copy()),
+            }
+        )
         keep = max(self.window_size, 1)
         self.state.update((values[-keep:].tolist(), int(times[-1])))
         yield out
@@ -107,12 +127,15 @@ class SeriesState(StatefulProcessor):
 
 def _with_history(stream: DataFrame, config: DetectorConfig, tie: str) -> DataFrame:
     use_rocksdb(stream.sparkSession)
-    keyed = stream.withColumn("at_us", F.unix_micros("time"))
-    schema = T.StructType(stream.schema.fields + ADDED.fields)
+    # The time goes to Python and back as a number: made into objects row by row it costs the most.
+    passed = [f for f in stream.schema.fields if f.name != "time"] + [T.StructField("at_us", T.LongType())]
+    keyed = stream.withColumn("at_us", F.unix_micros("time")).drop("time")
+    schema = T.StructType(passed + ADDED.fields)
     stated = keyed.groupBy("sensor_id").transformWithStateInPandas(
-        SeriesState(config.window_size, stream.columns, tie), schema, "append", "none"
+        SeriesState(config.window_size, [f.name for f in passed], "at_us" if tie == "time" else tie), schema, "append", "none"
     )
-    return stated.withColumn("_prev_time", F.timestamp_micros("_prev_us")).drop("_prev_us")
+    timed = stated.withColumns({"time": F.timestamp_micros("at_us"), "_prev_time": F.timestamp_micros("_prev_us")})
+    return timed.select(*stream.columns, *[n for n in ADDED.names if n != "_prev_us"], "_prev_time")
 
 
 def stream_detector_chain(
@@ -132,6 +155,8 @@ def stream_detect_all(
     detected_at: Column | None = None,
 ) -> DataFrame:
     """Alerts of the whole chain on a stream."""
+    if detected_at is None:  # only what alerts are made of goes through the state's Python workers
+        stream = stream.select(*[c for c in stream.columns if c in ALERT_SOURCE or c == tie])
     return alerts_of_history(_with_history(stream, config, tie), config, detected_at)
 
 
@@ -149,9 +174,7 @@ class RepeatState(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(
-            ["at_us", self.tie], kind="stable", ignore_index=True
-        )
+        pdf = in_order(list(rows), self.tie)
         times = pdf["at_us"].to_numpy("int64")
         last = before = int(self.state.get()[0]) if self.state.exists() else None
         if self.mode == "quiet_gap":

@@ -394,3 +394,19 @@ def test_logged_rollup_refreshes_only_listed_days(spark, tmp_path):
     os.rename(f"{base}/log-done", f"{base}/was-done")
     assert len(jobs.refresh_logged(spark, f"{base}/facts", f"{base}/log", f"{base}/agg")) == 8
     assert stored().select(want.columns).exceptAll(want).isEmpty()
+
+
+def test_stream_detectors_hand_only_alert_columns_to_python(spark, tmp_path, monkeypatch):
+    """No time objects and nothing that no alert shows; the chain still gives every column back."""
+    path = str(tmp_path / "in")
+    rows = readings(spark, [("S", 60 * i, float(i % 7)) for i in range(20)]).withColumn("extra", F.lit("x" * 50))
+    rows.write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    handed, made = [], detectors.SeriesState
+    monkeypatch.setattr(detectors, "SeriesState", lambda size, columns, tie: handed.append(columns) or made(size, columns, tie))
+    detectors.stream_detect_all(stream, DetectorConfig(window_size=6))
+    chain = detectors.stream_detector_chain(stream, DetectorConfig(window_size=6))
+    assert set(handed[0]) == {"reading_id", "platform_id", "sensor_id", "sensor_type", "value", "unit", "at_us"}
+    assert set(handed[1]) == {*rows.columns, "at_us"} - {"time"}
+    assert {f.name: f.dataType for f in chain.schema.fields if f.name in rows.columns} == {f.name: f.dataType for f in rows.schema.fields}
+    assert "at_us" not in chain.columns
