@@ -42,7 +42,7 @@ from fieldpulse.llm.sentence_pieces import BYTE, PieceModel, model
 from fieldpulse.llm.tables import matched, pieces, table, written
 
 CHUNK = 1 << 20
-KEPT_UNITS, KEPT_BYTES = 200_000, 1 << 23
+KEPT_UNITS, KEPT_BYTES = 400_000, 1 << 23
 TOGETHER = 1 << 17
 
 _DOCUMENTS = "doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, n_shared array<long>, digests array<string>"
@@ -63,18 +63,19 @@ class Units:
 
     def __init__(self):
         self.number: dict[str, int] = {}
-        self.bytes = 0
-        self.groups: list[str] = []
+        self.bytes = self.size = 0
+        self._groups: list[tuple[np.ndarray, np.ndarray]] = []  # bytes of all units' groups; where each unit's start and end
         self._counts: list[np.ndarray] = []  # n_a, n_b, n_groups, n_shared by unit
         self._links: list[Csr] = []  # units by pairs (a << 32 | b)
 
-    def add(self, names: list[str], groups: list[str], counts: np.ndarray, links: Csr) -> None:
-        first = len(self.groups)
+    def add(self, names: list[str], groups: tuple[np.ndarray, np.ndarray], counts: np.ndarray, links: Csr) -> None:
+        first = self.size
         self.number.update(zip(names, range(first, first + len(names)), strict=True))
         self.bytes += sum(map(len, names))
-        self.groups += groups
+        self.size += len(names)
+        self._groups.append(groups)
         self._counts.append(counts)
-        self._links.append(links)
+        self._links.append(Csr(links.starts, links.columns, links.values.astype(np.int32), links.width))
 
     @property
     def counts(self) -> np.ndarray:
@@ -82,6 +83,27 @@ class Units:
             self._counts = [np.concatenate(self._counts)]
         return self._counts[0]
 
+    @property
+    def groups(self) -> np.ndarray:
+        """How many bytes each unit's groups take."""
+        return np.concatenate([np.diff(edges) for _, edges in self._groups]) if self._groups else np.empty(0, np.int64)
+
+    def digest(self, units: np.ndarray) -> str:
+        """Digest of the groups of these units, one after the other."""
+        if len(self._groups) > 1:
+            before = np.cumsum([0, *(edges[-1] for _, edges in self._groups)])
+            edges = [e[:-1] + b for (_, e), b in zip(self._groups, before, strict=False)]
+            self._groups = [(np.concatenate([t for t, _ in self._groups]), np.concatenate((*edges, before[-1:])))]
+        text, edges = self._groups[0]
+        found = sha256()
+        for i in range(0, len(units), TOGETHER):
+            own = units[i : i + TOGETHER]
+            sizes = edges[own + 1] - edges[own]
+            ends = np.cumsum(sizes)
+            part = text[np.repeat(edges[own] - ends + sizes, sizes) + np.arange(ends[-1])]
+            found.update(part if i + TOGETHER < len(units) else part[:-1])  # no semicolon at the end
+        return found.hexdigest()
+
     @property
     def links(self) -> Csr:
         if len(self._links) > 1:
@@ -114,6 +136,10 @@ class Aligner:
         self.b_bytes = list(own.surfaces)
         self.a_sizes = np.array([len(x) for x in self.a_bytes])
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
+        # Ids as they stand in a digest, inside a group's side and at the end of A's and of B's.
+        shown = np.arange(max(len(self.a_bytes), len(self.b_bytes))).astype(bytes)
+        shown = shown.astype(f"S{len(str(len(shown)))}")
+        self.inside, self.last_a, self.last_b = (np.char.add(shown, mark) for mark in (b",", b"|", b";"))
         # A line feed only cuts where no piece and no run of the other tokenizer holds one inside.
         feed = not any("\n" in t for t, k in zip(own.texts, own.kinds, strict=True) if k != BYTE)
         self.cuts = " \n" if feed else " "
@@ -139,7 +165,7 @@ class Aligner:
         given = whole.encode()
         edges = np.cumsum([len(n.encode()) for n in names])
         found = []
-        a = self.bytewise.encode(whole, add_special_tokens=False).ids
+        a = self.bytewise.encode_batch_fast([whole], add_special_tokens=False)[0].ids
         for ids, known, sizes in (
             (a, self.a_bytes, self.a_sizes),
             (self.library.encode(whole[1:]), self.b_bytes, self.b_sizes),
@@ -156,7 +182,7 @@ class Aligner:
         return a, b, n_a, n_b, np.ones(len(names), bool)
 
     def _one_by_one(self, names: list[str]) -> tuple:
-        a_ids = [e.ids for e in self.bytewise.encode_batch(names, add_special_tokens=False)]
+        a_ids = [e.ids for e in self.bytewise.encode_batch_fast(names, add_special_tokens=False)]
         merged, space = self.pieces._merged, self.pieces.space
         b_ids = [
             np.frombuffer(b"".join(map(merged, self.pieces.units.findall(n.replace(" ", space)))), np.int32).tolist()
@@ -200,18 +226,25 @@ class Aligner:
         first_a = np.searchsorted(group_a, np.arange(len(ends)))  # each group has tokens of both
         first_b = np.searchsorted(group_b, np.arange(len(ends)))
         n_groups = np.bincount(owner[first_a], minlength=len(names)) if len(ends) else np.zeros(len(names), np.int64)
-        texts_a, texts_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        cuts_a, cuts_b = [*first_a.tolist(), len(a)], [*first_b.tolist(), len(b)]
-        shown = [
-            ",".join(texts_a[p:q]) + "|" + ",".join(texts_b[r:s])
-            for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-        ]
-        edges = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-        groups = [";".join(shown[p:q]) for p, q in zip(edges, edges[1:], strict=False)]
-        counts = np.stack([n_a, n_b, n_groups, n_shared], axis=1)
+        groups = self._shown(a, b, group_a, group_b, first_a, first_b, n_a + n_b)
+        counts = np.stack([n_a, n_b, n_groups, n_shared], axis=1).astype(np.int32)
         counts[~fits] = -1
         self.units.add(names, groups, counts, links)
 
+    def _shown(self, a, b, group_a, group_b, first_a, first_b, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all groups, each with a semicolon behind it, and where each unit's start and end;
+        ``sizes`` are the units' tokens."""
+        ids = np.empty(len(a) + len(b), self.inside.dtype)
+        # Before a token stand those of its side and, of the other side, the groups before it.
+        place_a = np.arange(len(a)) + first_b[group_a]
+        place_b = np.arange(len(b)) + np.append(first_a[1:], len(a))[group_b]
+        ids[place_a] = np.where(np.diff(group_a, append=-1) != 0, self.last_a[a], self.inside[a])
+        ids[place_b] = np.where(np.diff(group_b, append=-1) != 0, self.last_b[b], self.inside[b])
+        text = ids.view(np.uint8).reshape(len(ids), ids.itemsize)
+        filled = text != 0
+        edges = np.concatenate(([0], np.cumsum(filled.sum(axis=1))))
+        return text[filled], edges[np.concatenate(([0], np.cumsum(sizes)))]
+
     @staticmethod
     def _by_unit(units: np.ndarray, pairs: np.ndarray, n: int) -> Csr:
         """Units by pairs of ids, with the number of links."""
@@ -224,12 +257,12 @@ class Aligner:
 
     def chunk(self, texts: list[str | None]) -> dict:
         """The columns of ``_CHUNK`` for these texts, but for the number and the ids."""
-        if len(self.units.groups) > KEPT_UNITS or self.units.bytes > KEPT_BYTES:
+        if self.units.size > KEPT_UNITS or self.units.bytes > KEPT_BYTES:
             self.units = Units()
         split = list(map(self.split, texts))
         flat = [u for own in split for u in own]
         new = set(flat) - self.units.number.keys()
-        if new or not self.units.groups:
+        if new or not self.units.size:
             self.learn(sorted(new) or [" "])
         known = np.array(list(map(self.units.number.__getitem__, flat)), np.int64)
         sizes = np.array([len(own) for own in split], np.int64)
@@ -242,14 +275,10 @@ class Aligner:
             sizes[bad] = 0
             edges = np.concatenate(([0], np.cumsum(sizes)))
         total = _sums(counts, edges)
-        shown = list(map(self.units.groups.__getitem__, known.tolist()))
         cuts = edges.tolist()
-        digests = [
-            sha256(";".join(shown[p:q]).encode()).hexdigest() if q > p else ""
-            for p, q in zip(cuts, cuts[1:], strict=False)
-        ]
+        digests = [self.units.digest(known[p:q]) if q > p else "" for p, q in zip(cuts, cuts[1:], strict=False)]
         used = np.flatnonzero(np.bincount(known, minlength=1))
-        local = np.zeros(len(self.units.groups), np.int64)
+        local = np.zeros(self.units.size, np.int64)
         local[used] = np.arange(len(used))
         units = local[known]
         matrix = self.units.links.picked(used)
@@ -279,7 +308,7 @@ def _wide(packed: bytes) -> np.ndarray:
 
 def _sums(rows: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of the rows between the edges."""
-    running = np.concatenate((np.zeros((1, rows.shape[1]), np.int64), np.cumsum(rows, axis=0)))
+    running = np.concatenate((np.zeros((1, rows.shape[1]), np.int64), np.cumsum(rows, axis=0, dtype=np.int64)))
     return running[edges[1:]] - running[edges[:-1]]
 
 

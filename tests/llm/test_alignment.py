@@ -158,3 +158,13 @@ def test_products():
     assert (dense(sparse(x).transposed()) == x.T).all()
     assert (dense(sparse(x).picked(np.array([3, 0, 3]))) == x[[3, 0, 3]]).all()
     assert (sparse(x).applied(np.arange(5)) == x @ np.arange(5)).all()
+
+
+def test_groups_are_kept_as_bytes():
+    """A unit's groups take their own bytes and not an object of Python's each."""
+    own = Aligner(A, B)
+    texts = ["one two, three", None, "", "four\n\n five é two", "x" * 50]
+    found = own.chunk(texts)
+    assert own.units.groups.dtype == np.int64 and own.units.groups.min() > 0
+    again = own.chunk(texts[::-1])["digests"]
+    assert again[::-1] == found["digests"] and found["digests"][1:3] == ["", ""]
