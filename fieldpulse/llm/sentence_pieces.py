@@ -28,6 +28,7 @@ from fieldpulse.llm.tables import pieces, table
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 PIECE = 1 << 20
+DECODED = 1 << 18  # ids decoded together
 SEGMENT = 1 << 20
 _NEVER = float("-inf")  # the score of a pair that makes no piece
 _EACH = "fieldpulse-each-byte"
@@ -327,7 +328,7 @@ def decoded(tokens: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
 
     def run(batches):
         own = model(model_path)
-        for batch in batches:
+        for batch in pieces(batches, DECODED, at):
             rows = batch.column(at)
             texts = [
                 own.decode(row.values.to_numpy(zero_copy_only=False)) if row.is_valid else "" for row in rows
@@ -351,7 +352,7 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str, model_path: str | None
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.coalesce(F.expr("element_at(ends, -1)"), F.lit(0)).alias("source_bytes"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).alias("source_bytes"),
         (F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0))) == F.slice("starts", 2, F.size("starts"))).alias(
             "spans_tile"
         ),

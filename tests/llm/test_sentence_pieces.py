@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece as spm
 
@@ -97,3 +98,25 @@ def test_nulls_and_empty_tables(spark):
     got = sorted(((r.doc_id or -1), list(r.ids), r.decoded) for r in out.collect())
     assert [x[2] for x in got] == ["a b", "", ""] and got[1][1] == []
     assert sp.encoded(df.limit(0), PATH).count() == 0
+
+
+def test_query_on_nulls_and_empty_texts(spark, tmp_path, library):
+    texts = {1: None, 2: "", 3: "  ", 4: "plain words", 5: " a  b \n"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in QUERIES["op1_sentence_pieces"](spark, str(tmp_path)).collect()}
+    assert rows.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = library.encode(text or "")
+        assert rows[i].n_tokens == len(ids) and rows[i].spans_tile
+        assert rows[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert rows[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    assert rows[1].source_bytes == rows[2].source_bytes == 0 and rows[4].source_bytes == 11
+
+
+def test_decoding_goes_by_bounded_parts(spark):
+    lists = pa.array([[1] * 4, None, [], [1] * 3, [1] * 9], pa.list_(pa.int32()))
+    parts = sp.pieces([pa.RecordBatch.from_arrays([lists, lists], names=["ids", "x"])], 6, 0)
+    assert [x.num_rows for x in parts] == [3, 1, 1]
+    df = spark.createDataFrame([(i, [5, 6, 7] * i) for i in range(9)], "doc_id long, ids array<int>").coalesce(1)
+    own = sp.model(PATH)
+    assert [r.decoded for r in sp.decoded(df, PATH).collect()] == [own.decode(np.array([5, 6, 7] * i, np.int32)) for i in range(9)]
