@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_KEPT = 700_000  # words in memory, about 150 bytes each, and as many from before
+_KEPT = 650_000  # words in memory, about 150 bytes each, and as many from before; a batch more still fits 2^20 slots
 _TOGETHER = 300
 _MARKS = b".,;:!?"
 _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
@@ -32,14 +32,19 @@ def _visible_bytes() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids by word, and those known before; words that both lack are noted and answered by None."""
+    """Ids by word, and those known before; words that both lack are noted and answered by None.
 
-    def __init__(self, before: dict | None = None):
-        self.before = dict(before or ())
+    The empty word, which texts with white space at an end have, is always known: it has no ids.
+    """
+
+    def __init__(self, before: _Known | None = None):
+        self.before = {} if before is None else before
+        if before is not None:
+            before.before = {}
         self.lacking: set[bytes] = set()
 
     def __missing__(self, word: bytes) -> bytes | None:
-        ids = self.before.get(word)
+        ids = self.before.get(word) if word else b""
         if ids is None:
             self.lacking.add(word)
         else:
@@ -62,7 +67,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = _Known({b"": b""})
+        self.known = _Known()
         self.folds = self._ids(b"AbC") == self._ids(b"abc")
         self.code = "H" if self.kind.itemsize == 2 else "I"  # as little-endian machines store them
         self.model = self.tokenizer.model

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from fieldpulse.llm import rans, token_files
+from fieldpulse.llm import rans, token_files, word_tokens
 from fieldpulse.llm.queries import QUERIES
 from fieldpulse.llm.word_tokens import default_path, tokenizer
 
@@ -29,6 +29,17 @@ def test_words_match_the_library():
     assert own.packed([t.encode() for t in texts], span=7) == packed
 
 
+def test_blank_edges_after_many_words(monkeypatch):
+    """The empty word stays known when the words in memory change and no text had one meanwhile."""
+    monkeypatch.setattr(word_tokens, "_KEPT", 50)
+    library, own = Tokenizer.from_file(default_path()), word_tokens.WordTokenizer(default_path())
+    texts = [" ".join(f"w{i}x{k}" for i in range(80)) for k in range(4)] + ["", " a  b ", "\n", "w1x0 w1x3"]
+    for text in texts:  # each alone, so that the words change between them
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.packed([text.encode()])[0], own.kind).tolist() == want, repr(text)
+    assert own.known.before and not own.known.before.before  # two sets of words at most
+
+
 @pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 4095, 4096, 4097, 30_000])
 @pytest.mark.parametrize("ids", [1, 3, 5000])
 def test_frames_round_trip(n, ids):
