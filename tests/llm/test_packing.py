@@ -3,10 +3,11 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from fieldpulse.llm import packing
+from fieldpulse.llm import packing, word_tokens
 from fieldpulse.llm.queries import QUERIES
 from fieldpulse.llm.word_tokens import default_path
 
@@ -96,3 +97,26 @@ def test_small_budget_nulls_repeats_and_empty(spark):
     assert all(len(r.ids) == 2 * r.n_tokens for r in out)
     assert packing.packed(df.limit(0), default_path()).count() == 0
     assert packing.packed(df.where("text IS NULL"), default_path()).collect()[0].batch is None
+
+
+def test_blank_edges_after_many_words(spark, monkeypatch):
+    """As the workers of ``sequences`` do, in one process: no text with an empty word while the words change twice."""
+    monkeypatch.setattr(word_tokens, "_KEPT", 50)
+    tokenizer = word_tokens.WordTokenizer(default_path())
+    monkeypatch.setattr(packing, "tokenizer", lambda path: tokenizer)
+    texts = [" ".join(f"w{i}y{k}" for i in range(80)) for k in range(4)] + ["", " a  b ", "\n", None]
+    found = []
+
+    class Docs:  # a frame of one row per batch, whose function runs here
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            kinds = pa.schema({"doc_id": pa.int64(), "digest": pa.int64(), "text": pa.binary()})
+            rows = (pa.RecordBatch.from_pylist([{"doc_id": i, "digest": 0, "text": t and t.encode()}], kinds) for i, t in enumerate(texts))
+            found.extend(r for batch in run(rows) for r in batch.to_pylist())
+
+    packing.sequences(Docs(), default_path(), with_ids=True)
+    library = Tokenizer.from_file(default_path())
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(r["ids"], np.uint16).tolist() for r in found] == want
